@@ -36,6 +36,11 @@ def scratch(spark: SparkSession, sf: str, name: str) -> str:
     return shared_dir(spark, sf.strip("/").replace("/", "_"), name)
 
 
+def gaps_as_double(df: DataFrame, column: str = "CreditScore") -> DataFrame:
+    """Whole numbers with gaps differ between engines on the way out; doubles do not."""
+    return df.withColumn(column, F.col(column).cast("double"))
+
+
 # --- sources and sinks -------------------------------------------------------------------
 
 QUERIES["scan_customers"] = on("customers", lambda df: df)
@@ -45,7 +50,7 @@ QUERIES["scan_customers"] = on("customers", lambda df: df)
 def scan_raw(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, sf, "churn_raw_csv")
     exports.write_csv(derived.table(spark, sf, "churn_raw"), path)
-    return spark.read.schema(CHURN_RAW).option("header", True).csv(path)
+    return gaps_as_double(spark.read.schema(CHURN_RAW).option("header", True).csv(path))
 
 
 @query
@@ -111,7 +116,7 @@ QUERIES["check_violations"] = on(
 def normalize_batch(spark: SparkSession, sf: str) -> DataFrame:
     raw = derived.table(spark, sf, "churn_raw")
     odd_case = raw.select(*[F.col(c).alias(c.upper() if i % 2 else c) for i, c in enumerate(reversed(raw.columns))])
-    return batches.normalize_batch(odd_case)
+    return gaps_as_double(batches.normalize_batch(odd_case), "credit_score")
 
 
 QUERIES["localize_geography"] = on("churn_raw", lambda df: cleaning.localize_geography(df).select("RowNumber", "Geography"))
@@ -127,7 +132,7 @@ QUERIES["kpi_formatted"] = on("customers", reports.kpi_cards)
 for _column, _raw, _key in (("age", "Age", "age"), ("balance", "Balance", "balance"), ("credit_score", "CreditScore", "credit")):
     QUERIES[f"validate_{_key}"] = on(
         "churn_raw",
-        lambda df, c=_column, r=_raw: cleaning.drop_out_of_range(df, c, r).select("RowNumber", r),
+        lambda df, c=_column, r=_raw: cleaning.drop_out_of_range(gaps_as_double(df), c, r).select("RowNumber", r),
     )
 
 
@@ -142,8 +147,8 @@ def range_validations(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES["null_counts"] = on("churn_raw", lambda df: cleaning.null_counts(cleaning.localize_geography(df)))
 QUERIES["fill_missing"] = on("churn_raw", cleaning.prepare)
-QUERIES["duplicate_rows"] = on("churn_raw", lambda df: cleaning.duplicate_rows(df, "CustomerId"))
-QUERIES["dedup_keep_first"] = on("churn_raw", lambda df: cleaning.keep_first(df, "CustomerId", "RowNumber"))
+QUERIES["duplicate_rows"] = on("churn_raw", lambda df: gaps_as_double(cleaning.duplicate_rows(df, "CustomerId")))
+QUERIES["dedup_keep_first"] = on("churn_raw", lambda df: gaps_as_double(cleaning.keep_first(df, "CustomerId", "RowNumber")))
 QUERIES["cleaning_report"] = on("churn_raw", cleaning.cleaning_report)
 QUERIES["clean_customers"] = on("churn_raw", cleaning.clean_customers)
 

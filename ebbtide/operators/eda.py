@@ -135,7 +135,7 @@ def kde(customers: DataFrame, value: str, label: str = "exited", points: int = G
     return sums.select(
         label,
         "point",
-        F.round(x, 6).alias("x"),
+        x.alias("x"),
         (F.col("total") / (n * h * math.sqrt(2 * math.pi))).alias("density"),
     )
 

@@ -18,93 +18,96 @@ EXACT_VALUES = 1_000_000
 RANGES = 256
 
 
+def _sizes(df: DataFrame, sets: dict[str, Column]) -> dict[str, tuple[int, int]]:
+    """Values and distinct values (about) of several expressions, in one pass."""
+    row = df.agg(
+        *[F.count(c).alias(f"n_{s}") for s, c in sets.items()],
+        *[F.approx_count_distinct(c).alias(f"d_{s}") for s, c in sets.items()],
+    ).first()
+    return {s: (row[f"n_{s}"], row[f"d_{s}"]) for s in sets}
+
+
 def order_statistics(
     df: DataFrame,
     series: dict[str, Column],
     ranks: dict[str, list[int]],
+    sizes: dict[str, tuple[int, int]],
     max_values: int = EXACT_VALUES,
 ) -> dict[tuple[str, int], float]:
     """Values at 0-based ranks of each series, NULLs left out.
 
     While a series has too many distinct values for one sort, approximate percentiles
     bracket the wanted ranks and only the bracket is looked at in the next pass. A pass
-    narrows the bracket some thousandfold and reads just the columns concerned.
+    narrows the bracket some hundredfold, reads just the columns concerned and shuffles
+    one row per task.
     """
-    # one search per (series, rank): bounds are inclusive, `below` counts what lies under them
-    open_ = {(s, r): {"low": None, "high": None, "below": 0} for s, rs in ranks.items() for r in rs}
+    # a bracket per (series, rank): inclusive bounds, the values below it and inside it
+    brackets = {(s, r): (None, None, 0, *sizes[s]) for s, rs in ranks.items() for r in rs}
 
     def inside(key: tuple[str, int]) -> Column:
-        value, b = series[key[0]], open_[key]
-        return value.isNotNull() if b["low"] is None else value.between(F.lit(b["low"]), F.lit(b["high"]))
-
-    while True:
-        keys = list(open_)
-        sizes = df.agg(
-            *[F.approx_count_distinct(F.when(inside(k), series[k[0]])).alias(f"d{i}") for i, k in enumerate(keys)],
-            *[F.count_if(inside(k)).alias(f"n{i}") for i, k in enumerate(keys)],
-        ).first()
-        wide = [(i, k) for i, k in enumerate(keys) if sizes[f"d{i}"] > max_values]
-        if not wide:
-            break
+        value, (low, high, *_) = series[key[0]], brackets[key]
+        return value if low is None else F.when(value.between(F.lit(low), F.lit(high)), value)
+
+    wide = [k for k, b in brackets.items() if b[4] > max_values]
+    while wide:
         cuts = []
-        for i, k in wide:
-            p = (k[1] - open_[k]["below"]) / max(sizes[f"n{i}"] - 1, 1)
+        for i, k in enumerate(wide):
+            _, _, below, n, _ = brackets[k]
+            p = (k[1] - below) / max(n - 1, 1)
             around = [min(max(p + d, 0.0), 1.0) for d in (-0.001, 0.001)]
-            cuts.append(F.percentile_approx(F.when(inside(k), series[k[0]]), around, 10_000).alias(f"c{i}"))
+            cuts.append(F.percentile_approx(inside(k), around, 10_000).alias(f"c{i}"))
         cut = df.agg(*cuts).first()
-        under = df.agg(
-            *[F.count_if(series[k[0]] < cut[f"c{i}"][0]).alias(f"u{i}") for i, k in wide],
-            *[F.count_if(series[k[0]] <= cut[f"c{i}"][1]).alias(f"t{i}") for i, k in wide],
-        ).first()
-        progress = False
-        for i, k in wide:
-            low, high = cut[f"c{i}"]
-            if not under[f"u{i}"] <= k[1] < under[f"t{i}"]:
-                continue  # the approximation missed; the old bracket stays
-            progress = progress or (low, high) != (open_[k]["low"], open_[k]["high"])
-            open_[k] = {"low": low, "high": high, "below": under[f"u{i}"]}
-        if not progress:
-            break  # the sort below still gives the exact answer, only slower
-
-    # series with the same bracket share one histogram
-    brackets: dict[tuple, list[tuple[str, int]]] = {}
-    for k, b in open_.items():
-        brackets.setdefault((k[0], b["low"], b["high"], b["below"]), []).append(k)
-    groups = list(brackets.items())
+        between = {f"b{i}": F.when(series[k[0]].between(*map(F.lit, cut[f"c{i}"])), series[k[0]]) for i, k in enumerate(wide)}
+        found = _sizes(df, between)
+        under = df.agg(*[F.count_if(series[k[0]] < cut[f"c{i}"][0]).alias(f"u{i}") for i, k in enumerate(wide)]).first()
+        narrowed = []
+        for i, k in enumerate(wide):
+            below, (n, distinct) = under[f"u{i}"], found[f"b{i}"]
+            # an approximation that missed the rank, or gained nothing, leaves the old bracket
+            if below <= k[1] < below + n and n < brackets[k][3]:
+                brackets[k] = (*cut[f"c{i}"], below, n, distinct)
+                if distinct > max_values:
+                    narrowed.append(k)
+        wide = narrowed
+
+    # ranks with the same bracket share one histogram, which one window per bracket sums up
+    shared: dict[tuple, list[tuple[str, int]]] = {}
+    for k, b in brackets.items():
+        shared.setdefault((k[0], *b), []).append(k)
+    groups = list(shared.values())
     values = F.array(
-        *[
-            F.struct(F.lit(i).alias("g"), F.when(inside(ks[0]), series[ks[0][0]]).cast("double").alias("v"))
-            for i, (_, ks) in enumerate(groups)
-        ]
+        *[F.struct(F.lit(i).alias("g"), inside(ks[0]).cast("double").alias("v")) for i, ks in enumerate(groups)]
     )
     histogram = (
         df.select(F.explode(values).alias("x")).select("x.g", "x.v").where("v IS NOT NULL").groupBy("g", "v").count()
     )
-    up_to = F.sum("count").over(Window.partitionBy("g").orderBy("v"))
-    wanted = [
-        (k, F.min(F.when((F.col("g") == i) & (F.col("up_to") > k[1] - below), F.col("v"))))
-        for i, ((_, _, _, below), ks) in enumerate(groups)
-        for k in ks
-    ]
-    found = histogram.withColumn("up_to", up_to).agg(*[c.alias(f"r{j}") for j, (_, c) in enumerate(wanted)]).first()
-    return {k: found[f"r{j}"] for j, (k, _) in enumerate(wanted)}
+    counted = histogram.withColumn("up_to", F.sum("count").over(Window.partitionBy("g").orderBy("v")))
+    keys = [(i, k) for i, ks in enumerate(groups) for k in ks]
+    at = counted.agg(
+        *[
+            F.min(F.when((F.col("g") == i) & (F.col("up_to") > k[1] - brackets[k][2]), F.col("v"))).alias(f"r{j}")
+            for j, (i, k) in enumerate(keys)
+        ]
+    ).first()
+    return {k: at[f"r{j}"] for j, (_, k) in enumerate(keys)}
 
 
 def exact_quantiles(
     df: DataFrame, series: dict[str, Column], probs: list[float], max_values: int = EXACT_VALUES
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of each series; None for one without values."""
-    counts = df.agg(*[F.count(c).alias(s) for s, c in series.items()]).first()
-    places = {s: [(counts[s] - 1) * p for p in probs] for s in series if counts[s]}
-    ranks = {s: sorted({r for h in hs for r in (int(h), min(int(h) + 1, counts[s] - 1))}) for s, hs in places.items()}
-    at = order_statistics(df, {s: series[s] for s in ranks}, ranks, max_values) if ranks else {}
+    sizes = _sizes(df, series)
+    places = {s: [(n - 1) * p for p in probs] for s, (n, _) in sizes.items() if n}
+
+    def neighbours(s: str, place: float) -> tuple[int, int]:
+        return int(place), min(int(place) + 1, sizes[s][0] - 1)
+
+    ranks = {s: sorted({r for h in hs for r in neighbours(s, h)}) for s, hs in places.items()}
+    at = order_statistics(df, series, ranks, sizes, max_values) if ranks else {}
     result: dict[str, list[float | None]] = {s: [None] * len(probs) for s in series}
     for s, hs in places.items():
-        result[s] = []
-        for h in hs:
-            low = at[s, int(h)]
-            high = at[s, min(int(h) + 1, counts[s] - 1)]
-            result[s].append(low + (high - low) * (h - int(h)))
+        pairs = [(at[s, low], at[s, high], h - low) for h in hs for low, high in [neighbours(s, h)]]
+        result[s] = [low + (high - low) * share for low, high, share in pairs]
     return result
 
 
@@ -118,8 +121,8 @@ def cut_into_ranges(df: DataFrame, key: str, ranges: int = RANGES) -> DataFrame:
 
     The bounds are plain numbers found once, so every task and every retry agrees on them.
     """
-    probs = [i / ranges for i in range(1, ranges)]
-    bounds = df.agg(F.percentile_approx(key, probs, 20 * ranges).alias("b")).first()["b"] or [0.0]
+    probs = ", ".join(str(i / ranges) for i in range(1, ranges))
+    bounds = df.agg(F.expr(f"percentile_approx(`{key}`, array({probs}), {20 * ranges})").alias("b")).first()["b"] or [0.0]
     splits = [float("-inf"), *sorted({float(b) for b in bounds}), float("inf")]
     cut = Bucketizer(splits=splits, inputCol=key, outputCol="range_no", handleInvalid="keep").transform(df)
     return cut.withColumn("range_no", F.col("range_no").cast("int"))

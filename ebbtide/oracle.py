@@ -75,7 +75,8 @@ def by(key: str, name: str, source: str = "customers") -> str:
 # --- sources and sinks
 
 oracle("scan_customers", "SELECT * FROM customers")
-oracle("scan_raw", "SELECT * FROM churn_raw")
+AS_DOUBLE = "* REPLACE (CAST(CreditScore AS DOUBLE) AS CreditScore)"
+oracle("scan_raw", f"SELECT {AS_DOUBLE} FROM churn_raw")
 oracle(
     "parse_scoring_json",
     """SELECT customer_id, CAST(TRUNC(credit_score) AS INTEGER) AS credit_score, geography, gender,
@@ -122,7 +123,9 @@ oracle(
 
 oracle(
     "normalize_batch",
-    "SELECT " + ", ".join(f"{raw} AS {name}" for raw, name in RAW_TO_CUSTOMER.items()) + " FROM churn_raw",
+    "SELECT * REPLACE (CAST(credit_score AS DOUBLE) AS credit_score) FROM (SELECT "
+    + ", ".join(f"{raw} AS {name}" for raw, name in RAW_TO_CUSTOMER.items())
+    + " FROM churn_raw) t",
 )
 STATE = "CASE Geography WHEN 'France' THEN 'Maharashtra' WHEN 'Germany' THEN 'Karnataka' WHEN 'Spain' THEN 'Delhi' END"
 oracle("localize_geography", f"SELECT RowNumber, {STATE} AS Geography FROM churn_raw")
@@ -152,7 +155,7 @@ BAD_BALANCE = "COALESCE(Balance < 0, FALSE)"
 BAD_SCORE = "COALESCE(CreditScore < 300 OR CreditScore > 850, FALSE)"
 oracle("validate_age", f"SELECT RowNumber, Age FROM churn_raw WHERE NOT {BAD_AGE}")
 oracle("validate_balance", f"SELECT RowNumber, Balance FROM churn_raw WHERE NOT {BAD_BALANCE}")
-oracle("validate_credit", f"SELECT RowNumber, CreditScore FROM churn_raw WHERE NOT {BAD_SCORE}")
+oracle("validate_credit", f"SELECT RowNumber, CAST(CreditScore AS DOUBLE) AS CreditScore FROM churn_raw WHERE NOT {BAD_SCORE}")
 oracle(
     "range_validations",
     f"""SELECT RowNumber, NOT ({BAD_AGE} OR {BAD_BALANCE} OR {BAD_SCORE}) AS kept_by_cleaning,
@@ -182,10 +185,10 @@ _filled = """SELECT * REPLACE (
 oracle("fill_missing", "SELECT * FROM filled", localised=_local, filled=_filled)
 oracle(
     "duplicate_rows",
-    "SELECT * FROM churn_raw WHERE CustomerId IN (SELECT CustomerId FROM churn_raw GROUP BY CustomerId HAVING COUNT(*) > 1)",
+    f"SELECT {AS_DOUBLE} FROM churn_raw WHERE CustomerId IN (SELECT CustomerId FROM churn_raw GROUP BY CustomerId HAVING COUNT(*) > 1)",
 )
 _FIRST = "SELECT * FROM {0} QUALIFY ROW_NUMBER() OVER (PARTITION BY CustomerId ORDER BY RowNumber) = 1"
-oracle("dedup_keep_first", _FIRST.format("churn_raw"))
+oracle("dedup_keep_first", f"SELECT {AS_DOUBLE} FROM ({_FIRST.format('churn_raw')}) t")
 oracle(
     "cleaning_report",
     """SELECT 'initial' AS counter, (SELECT COUNT(*) FROM filled) AS row_count

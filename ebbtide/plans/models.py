@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from itertools import product
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ebbtide.operators.importance import permutation_importance
@@ -22,6 +24,7 @@ from ebbtide.operators.metrics import classification_metrics, roc_auc
 from ebbtide.operators.preprocess import ChurnPreprocessor, ChurnPreprocessorModel, EngineeredFeatures
 from ebbtide.operators.splits import FOLDS, split_rule, with_folds
 from ebbtide.schemas import MODEL_METRICS
+from ebbtide.session import ensure_checkpoint_dir
 
 SEED = 42
 LABEL = "exited"
@@ -83,7 +86,6 @@ def boosted_trees(n: int, trees: int = 150, max_depth: int = 5, rate: float = 0.
         maxDepth=max_depth,
         stepSize=rate,
         maxMemoryInMB=1024,
-        cacheNodeIds=True,
         seed=SEED,
     )
 
@@ -174,7 +176,9 @@ def training_frame(customers: DataFrame, folds: int | None = None) -> TrainingFr
     if folds:
         train = with_folds(rows.where("split = 'train'"), LABEL, folds=folds)
         rows = _sized(train.unionByName(rows.where("split = 'test'").withColumn("fold", F.lit(-1))), n_total)
-    return TrainingFrame(preprocessor, rows.persist(), counts.get("train", 0), n_total)
+    # every iteration of a fit ships its lineage to the tasks; a checkpoint keeps it short
+    ensure_checkpoint_dir(customers.sparkSession)
+    return TrainingFrame(preprocessor, rows.checkpoint().persist(), counts.get("train", 0), n_total)
 
 
 def weighted(rows: DataFrame, positive_weight: float) -> DataFrame:
@@ -202,15 +206,26 @@ def measure(name: str, scored: DataFrame) -> DataFrame:
 
 
 def compare_models(
-    frame: TrainingFrame, names: list[str] | None = None, overrides: dict[str, dict] | None = None
+    frame: TrainingFrame,
+    names: list[str] | None = None,
+    overrides: dict[str, dict] | None = None,
+    parallelism: int = 4,
 ) -> tuple[DataFrame, dict[str, Model]]:
-    """Measured metrics of every candidate on the test part, and the fitted models."""
-    models, rows = {}, []
-    for name in names or COMPARED:
-        models[name] = fit_candidate(frame, CANDIDATES[name], **(overrides or {}).get(name, {}))
-        rows.append(measure(name, score(models[name], frame.test)).first())
+    """Measured metrics of every candidate on the test part, and the fitted models.
+
+    Candidates are fitted side by side, so one with many small jobs does not hold up others.
+    """
+    names = names or COMPARED
     spark = frame.rows.sparkSession
-    return spark.createDataFrame(rows, MODEL_METRICS), models
+
+    def run(name: str) -> tuple[Model, Row]:
+        model = fit_candidate(frame, CANDIDATES[name], **(overrides or {}).get(name, {}))
+        return model, measure(name, score(model, frame.test)).first()
+
+    with ThreadPoolExecutor(min(parallelism, len(names))) as pool:
+        done = list(pool.map(inheritable_thread_target(spark)(run), names))
+    rows = [row for _, row in done]
+    return spark.createDataFrame(rows, MODEL_METRICS), {n: model for n, (model, _) in zip(names, done)}
 
 
 def best_model(metrics: DataFrame, position: str | None = None) -> DataFrame:
@@ -284,9 +299,9 @@ def grid_search(
         results += [({**s, "positive_weight": weight}, mean) for s, mean in zip(settings, means)]
     parameters, cv_auc = max(results, key=lambda r: r[1])  # the first of equals
     table = frame.rows.sparkSession.createDataFrame(
-        [(str(p), mean) for p, mean in results], "parameters string, cv_auc double"
+        [(str(p), float(mean)) for p, mean in results], "parameters string, cv_auc double"
     )
-    return Tuned(parameters, cv_auc, table, fit_candidate(frame, candidate, **parameters))
+    return Tuned(parameters, float(cv_auc), table, fit_candidate(frame, candidate, **parameters))
 
 
 def importance(frame: TrainingFrame, model: Model, customers: DataFrame, **options: Any) -> DataFrame:

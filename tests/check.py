@@ -27,7 +27,7 @@ def canonical(pdf: pd.DataFrame) -> list[str]:
     for row in ordered.itertuples(index=False):
         cells = []
         for v in row:
-            if v is None or v is pd.NaT or (isinstance(v, float) and pd.isna(v)):
+            if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and pd.isna(v)):
                 cells.append("∅")
             elif isinstance(v, bool) or type(v).__name__ == "bool_":
                 cells.append(str(bool(v)))
