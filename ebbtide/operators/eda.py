@@ -35,12 +35,13 @@ def correlation_matrix(customers: DataFrame, columns: list[str] | None = None) -
     numeric = customers.select(
         *[(gender_code().alias("gender") if c == "gender" else F.col(c)) for c in columns]
     )
-    # corr() pairs up only if both sides are null together
     pairs = list(combinations(columns, 2))
     sums = []
     for a, b in pairs:
         both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        sums.append(F.corr(F.when(both, F.col(a)).cast("double"), F.when(both, F.col(b)).cast("double")))
+        x, y = [F.when(both, F.col(c)).cast("double") for c in (a, b)]
+        # corr() raises on a column without spread; here it has no correlation
+        sums.append(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
     one = numeric.agg(
         *[s.alias(f"p{i}") for i, s in enumerate(sums)],
         *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(columns)],

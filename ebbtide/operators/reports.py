@@ -135,7 +135,7 @@ def segment_cube(customers: DataFrame) -> DataFrame:
     return customers.groupBy(*keys).agg(
         rows().alias("n"),
         F.count("exited").alias("n_exited"),
-        F.coalesce(churned(), F.lit(0)).alias("churned"),
+        churned().alias("churned"),
         F.count("balance").alias("n_balance"),
         F.sum("balance").alias("sum_balance"),
         F.count(score).alias("n_credit_score"),
