@@ -7,7 +7,7 @@ tied together by their totals, of which there are only as many as ranges.
 
 from __future__ import annotations
 
-from functools import reduce
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -15,100 +15,111 @@ from pyspark.sql import functions as F
 
 # Distinct values that one window task may sort in the last step of a quantile.
 EXACT_VALUES = 1_000_000
+ROUGHLY = 0.1  # relative error of a distinct count that only tells sizes apart
 RANGES = 256
 
 
-def _sizes(df: DataFrame, sets: dict[str, Column]) -> dict[str, tuple[int, int]]:
-    """Values and distinct values (about) of several expressions, in one pass."""
-    row = df.agg(
-        *[F.count(c).alias(f"n_{s}") for s, c in sets.items()],
-        *[F.approx_count_distinct(c).alias(f"d_{s}") for s, c in sets.items()],
-    ).first()
-    return {s: (row[f"n_{s}"], row[f"d_{s}"]) for s in sets}
-
-
-def order_statistics(
-    df: DataFrame,
-    series: dict[str, Column],
-    ranks: dict[str, list[int]],
-    sizes: dict[str, tuple[int, int]],
-    max_values: int = EXACT_VALUES,
-) -> dict[tuple[str, int], float]:
-    """Values at 0-based ranks of each series, NULLs left out.
-
-    While a series has too many distinct values for one sort, approximate percentiles
-    bracket the wanted ranks and only the bracket is looked at in the next pass. A pass
-    narrows the bracket some hundredfold, reads just the columns concerned and shuffles
-    one row per task.
-    """
-    # a bracket per (series, rank): inclusive bounds, the values below it and inside it
-    brackets = {(s, r): (None, None, 0, *sizes[s]) for s, rs in ranks.items() for r in rs}
-
-    def inside(key: tuple[str, int]) -> Column:
-        value, (low, high, *_) = series[key[0]], brackets[key]
-        return value if low is None else F.when(value.between(F.lit(low), F.lit(high)), value)
-
-    wide = [k for k, b in brackets.items() if b[4] > max_values]
-    while wide:
-        cuts = []
-        for i, k in enumerate(wide):
-            _, _, below, n, _ = brackets[k]
-            p = (k[1] - below) / max(n - 1, 1)
-            around = [min(max(p + d, 0.0), 1.0) for d in (-0.001, 0.001)]
-            cuts.append(F.percentile_approx(inside(k), around, 10_000).alias(f"c{i}"))
-        cut = df.agg(*cuts).first()
-        between = {f"b{i}": F.when(series[k[0]].between(*map(F.lit, cut[f"c{i}"])), series[k[0]]) for i, k in enumerate(wide)}
-        found = _sizes(df, between)
-        under = df.agg(*[F.count_if(series[k[0]] < cut[f"c{i}"][0]).alias(f"u{i}") for i, k in enumerate(wide)]).first()
-        narrowed = []
-        for i, k in enumerate(wide):
-            below, (n, distinct) = under[f"u{i}"], found[f"b{i}"]
-            # an approximation that missed the rank, or gained nothing, leaves the old bracket
-            if below <= k[1] < below + n and n < brackets[k][3]:
-                brackets[k] = (*cut[f"c{i}"], below, n, distinct)
-                if distinct > max_values:
-                    narrowed.append(k)
-        wide = narrowed
-
-    # ranks with the same bracket share one histogram, which one window per bracket sums up
-    shared: dict[tuple, list[tuple[str, int]]] = {}
-    for k, b in brackets.items():
-        shared.setdefault((k[0], *b), []).append(k)
-    groups = list(shared.values())
+@dataclass
+class _Search:
+    """Looks for the values at two neighbouring ranks of a series."""
+
+    series: str
+    value: Column
+    low_rank: int
+    high_rank: int
+    n: int  # values inside the bracket
+    distinct: int  # about
+    low: float | None = None  # inclusive bounds of the bracket, none at first
+    high: float | None = None
+    below: int = 0  # values under it
+
+    def inside(self) -> Column:
+        return self.value if self.low is None else F.when(self.value.between(F.lit(self.low), F.lit(self.high)), self.value)
+
+
+def _narrow(df: DataFrame, searches: list[_Search]) -> list[_Search]:
+    """Bracket the ranks by approximate percentiles; returns the searches that got on."""
+    cuts = []
+    for i, s in enumerate(searches):
+        p = (s.low_rank - s.below) / max(s.n - 1, 1)
+        around = [min(max(p + d, 0.0), 1.0) for d in (-0.001, 0.001)]
+        cuts.append(F.percentile_approx(s.inside(), around, 2_000).alias(f"c{i}"))  # off by 1/2000 at most
+    cut = df.agg(*cuts).first()
+    counts = []
+    for i, s in enumerate(searches):
+        low, high = cut[f"c{i}"]
+        between = F.when(s.value.between(F.lit(low), F.lit(high)), s.value)
+        counts += [
+            F.count_if(s.value < low).alias(f"b{i}"),
+            F.count(between).alias(f"n{i}"),
+            F.approx_count_distinct(between, ROUGHLY).alias(f"d{i}"),
+        ]
+    found = df.agg(*counts).first()
+    moved = []
+    for i, s in enumerate(searches):
+        below, n = found[f"b{i}"], found[f"n{i}"]
+        # an approximation that missed a rank, or gained nothing, leaves the old bracket
+        if below <= s.low_rank and s.high_rank < below + n < below + s.n:
+            s.low, s.high = cut[f"c{i}"]
+            s.below, s.n, s.distinct = below, n, found[f"d{i}"]
+            moved.append(s)
+    return moved
+
+
+def _look_up(df: DataFrame, searches: list[_Search]) -> dict[tuple[str, int], float]:
+    """Values at the ranks, from a histogram per bracket that a window sums up."""
+    brackets: dict[tuple, list[_Search]] = {}
+    for s in searches:
+        brackets.setdefault((s.series, s.low, s.high), []).append(s)
     values = F.array(
-        *[F.struct(F.lit(i).alias("g"), inside(ks[0]).cast("double").alias("v")) for i, ks in enumerate(groups)]
+        *[F.struct(F.lit(g).alias("g"), ss[0].inside().cast("double").alias("v")) for g, ss in enumerate(brackets.values())]
     )
     histogram = (
         df.select(F.explode(values).alias("x")).select("x.g", "x.v").where("v IS NOT NULL").groupBy("g", "v").count()
     )
     counted = histogram.withColumn("up_to", F.sum("count").over(Window.partitionBy("g").orderBy("v")))
-    keys = [(i, k) for i, ks in enumerate(groups) for k in ks]
+    wanted = [(g, s, rank) for g, ss in enumerate(brackets.values()) for s in ss for rank in {s.low_rank, s.high_rank}]
     at = counted.agg(
         *[
-            F.min(F.when((F.col("g") == i) & (F.col("up_to") > k[1] - brackets[k][2]), F.col("v"))).alias(f"r{j}")
-            for j, (i, k) in enumerate(keys)
+            F.min(F.when((F.col("g") == g) & (F.col("up_to") > rank - s.below), F.col("v"))).alias(f"r{j}")
+            for j, (g, s, rank) in enumerate(wanted)
         ]
     ).first()
-    return {k: at[f"r{j}"] for j, (_, k) in enumerate(keys)}
+    return {(s.series, rank): at[f"r{j}"] for j, (_, s, rank) in enumerate(wanted)}
 
 
 def exact_quantiles(
     df: DataFrame, series: dict[str, Column], probs: list[float], max_values: int = EXACT_VALUES
 ) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of each series; None for one without values."""
-    sizes = _sizes(df, series)
-    places = {s: [(n - 1) * p for p in probs] for s, (n, _) in sizes.items() if n}
+    """Linearly interpolated quantiles of each series; None for one without values.
 
-    def neighbours(s: str, place: float) -> tuple[int, int]:
-        return int(place), min(int(place) + 1, sizes[s][0] - 1)
+    Every pass is one aggregate over the columns concerned. While a series has too many
+    distinct values for one sort, its ranks are bracketed more closely, some hundredfold per
+    pass; what is sorted in the end is bounded by `max_values` per quantile.
+    """
+    sizes = df.agg(
+        *[F.count(c).alias(f"n_{s}") for s, c in series.items()],
+        *[F.approx_count_distinct(c, ROUGHLY).alias(f"d_{s}") for s, c in series.items()],
+    ).first()
+    searches = []
+    for s, value in series.items():
+        n = sizes[f"n_{s}"]
+        for low in {int((n - 1) * p) for p in probs} if n else ():
+            searches.append(_Search(s, value, low, min(low + 1, n - 1), n, sizes[f"d_{s}"]))
+    wide = [s for s in searches if s.distinct > max_values]
+    while wide:
+        wide = [s for s in _narrow(df, wide) if s.distinct > max_values]
+    at = _look_up(df, searches) if searches else {}
 
-    ranks = {s: sorted({r for h in hs for r in neighbours(s, h)}) for s, hs in places.items()}
-    at = order_statistics(df, series, ranks, sizes, max_values) if ranks else {}
-    result: dict[str, list[float | None]] = {s: [None] * len(probs) for s in series}
-    for s, hs in places.items():
-        pairs = [(at[s, low], at[s, high], h - low) for h in hs for low, high in [neighbours(s, h)]]
-        result[s] = [low + (high - low) * share for low, high, share in pairs]
-    return result
+    def quantile(s: str, p: float) -> float | None:
+        n = sizes[f"n_{s}"]
+        if not n:
+            return None
+        place = (n - 1) * p
+        low, high = at[s, int(place)], at[s, min(int(place) + 1, n - 1)]
+        return low + (high - low) * (place - int(place))
+
+    return {s: [quantile(s, p) for p in probs] for s in series}
 
 
 def exact_medians(df: DataFrame, columns: list[str], max_values: int = EXACT_VALUES) -> dict[str, float | None]:
@@ -156,6 +167,3 @@ def hash_order(id_column: str, *seed: object) -> Column:
     """md5 of seed and key: the same pseudo-random order on any engine."""
     return F.md5(F.concat_ws("-", *[s if isinstance(s, Column) else F.lit(str(s)) for s in seed], F.col(id_column)))
 
-
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions, F.lit(True))

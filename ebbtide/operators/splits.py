@@ -53,15 +53,15 @@ def split_rule(
         "_rank", F.row_number().over(Window.partitionBy("_class").orderBy("_hash", key))
     )
     bounds = ranked.where(F.col("_rank") == place).select("_class", "_hash", F.col(key).alias("_key")).collect()
-    mine = hash_order(key, seed)
-    is_test = F.lit(False)
+    # the last test row of the row's class, compared in the order (hash, key)
+    hash_bound, key_bound = F.lit(None).cast("string"), F.lit(None).cast(df.schema[key].dataType)
     for row in bounds:
-        in_class = (
-            F.col(label) == row["_class"] if row["_class"] >= 0 else ~F.coalesce(F.col(label).isin(0, 1), F.lit(False))
-        )
-        reached = (mine < row["_hash"]) | ((mine == row["_hash"]) & (F.col(key) <= F.lit(row["_key"])))
-        is_test = is_test | (in_class & reached)
-    return F.when(is_test, "test").otherwise("train")
+        in_class = F.col(label) == row["_class"] if row["_class"] >= 0 else ~F.coalesce(F.col(label).isin(0, 1), F.lit(False))
+        hash_bound = F.when(in_class, F.lit(row["_hash"])).otherwise(hash_bound)
+        key_bound = F.when(in_class, F.lit(row["_key"])).otherwise(key_bound)
+    mine = F.struct(hash_order(key, seed).alias("h"), F.col(key).alias("k"))
+    last_test = F.struct(hash_bound.alias("h"), key_bound.cast(df.schema[key].dataType).alias("k"))
+    return F.when(hash_bound.isNotNull() & (mine <= last_test), "test").otherwise("train")
 
 
 def stratified_split(df: DataFrame, label: str = "exited", key: str = "customer_id", **options) -> DataFrame:
