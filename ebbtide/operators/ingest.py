@@ -6,7 +6,7 @@ names: nothing here runs once per file.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,15 +33,24 @@ DROP_ROWS = "drop_rows"  # only the rows with such ids are dropped
 class IngestResult:
     rows: DataFrame  # file_name and the customer columns of what is to be appended
     files: DataFrame  # one row per file: counts and status
+    kept: list[DataFrame] = field(default_factory=list)  # what is persisted while `rows` is in use
 
+    def release(self) -> None:
+        for df in self.kept:
+            df.unpersist()
 
-def new_records(batch: DataFrame, existing: DataFrame, key: str = "customer_id") -> DataFrame:
+
+def new_records(
+    batch: DataFrame, existing: DataFrame, key: str = "customer_id", kept: list[DataFrame] | None = None
+) -> DataFrame:
     """Rows whose key the table does not have.
 
     The big table is reduced to the few keys the batch asks about, by a broadcast of those
     keys as long as they fit, so its key column is read once and not shuffled.
     """
     asked = batch.select(key).distinct().persist()
+    if kept is not None:
+        kept.append(asked)
     known = join_checked(existing.select(key), asked, [key], "left_semi")
     return batch.join(known, key, "left_anti")
 
@@ -108,12 +117,14 @@ def ingest_batch(rows: DataFrame, existing: DataFrame, mode: str = REJECT_FILE)
     spark = rows.sparkSession
     if "unparsable" not in rows.columns:
         rows = rows.withColumn("unparsable", F.lit(False))
+    kept_frames: list[DataFrame] = []
     unique = keep_first(rows, ["file_name", "customer_id"], "rn").persist()
     fresh = (
-        new_records(unique, existing)
+        new_records(unique, existing, kept=kept_frames)
         .withColumns({"in_range": surely_valid(), "violates": any_violation()})
         .persist()
     )
+    kept_frames += [unique, fresh]
     # file names are few: they were listed by the driver
     read = rows.groupBy("file_name").agg(F.bool_or("unparsable").alias("unparsable"))
     seen = unique.groupBy("file_name").agg(F.count("*").alias("unique_rows"))
@@ -143,6 +154,7 @@ def ingest_batch(rows: DataFrame, existing: DataFrame, mode: str = REJECT_FILE)
         written = {f["file_name"]: f["valid_rows"] for f in counted}
     else:
         taken = keep_first(valid, "customer_id", "file_name").persist()
+        kept_frames.append(taken)
         status.update(dict.fromkeys(candidates, INGESTED))
         written = {r["file_name"]: r["count"] for r in taken.groupBy("file_name").count().collect()}
     report = [
@@ -160,7 +172,7 @@ def ingest_batch(rows: DataFrame, existing: DataFrame, mode: str = REJECT_FILE)
         report,
         "file_name string, status string, unique_rows long, new_rows long, out_of_range_rows long, written_rows long",
     )
-    return IngestResult(taken, files)
+    return IngestResult(taken, files, kept_frames)
 
 
 def ingest_summary(files: DataFrame) -> DataFrame:

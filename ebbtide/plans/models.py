@@ -152,15 +152,14 @@ class TrainingFrame:
         return self.rows.where("split = 'test'")
 
 
-BYTES_PER_TASK = 64 * 1024 * 1024
-BYTES_PER_ROW = 256
+ROWS_PER_TASK = 2500
 
 
 def _sized(df: DataFrame, rows: int) -> DataFrame:
-    """Fewer, fuller partitions for a small frame: a fit runs its jobs once per iteration and
-    partition, so little data in many partitions is all overhead. A large frame is left."""
-    wanted = 1 + rows * BYTES_PER_ROW // BYTES_PER_TASK
-    return df.coalesce(wanted) if wanted < df.sparkSession.sparkContext.defaultParallelism else df
+    """As many partitions as a small frame is worth: a fit runs its jobs once per iteration
+    and partition. A frame with work for every core keeps the partitions it has."""
+    wanted = 1 + rows // ROWS_PER_TASK
+    return df.repartition(wanted) if wanted < df.sparkSession.sparkContext.defaultParallelism else df
 
 
 def training_frame(customers: DataFrame, folds: int | None = None) -> TrainingFrame:
@@ -199,10 +198,13 @@ def score(model: Model, rows: DataFrame) -> DataFrame:
 
 
 def measure(name: str, scored: DataFrame) -> DataFrame:
+    """One row of metrics. The scores are kept while they are read, so the model runs once."""
     scored = scored.persist()
-    metrics = classification_metrics(scored, LABEL)
     auc = roc_auc(scored, LABEL, "probability").scalar()
-    return metrics.select(F.lit(name).alias("Model"), "*", auc.alias("ROC-AUC")).select(MODEL_METRICS.fieldNames())
+    columns = MODEL_METRICS.fieldNames()
+    row = classification_metrics(scored, LABEL).select(F.lit(name).alias("Model"), "*", auc.alias("ROC-AUC")).select(columns).first()
+    scored.unpersist()
+    return scored.sparkSession.createDataFrame([row], MODEL_METRICS)
 
 
 def compare_models(

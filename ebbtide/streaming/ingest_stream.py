@@ -91,6 +91,7 @@ def ingest_files(
         entries += [(*f, None, now) for f in decided]
         if added:
             result.rows.select(CUSTOMER_COLUMNS).write.mode("overwrite").parquet(f"{table}/{BATCH}={batch}")
+        result.release()
     # a file of nothing but a header has no row to be counted by
     entries += [
         (p, DONE[1], 0, 0, 0, 0, None, now) for p in paths if p not in refused and p not in with_header
@@ -121,13 +122,11 @@ def archive_files(spark: SparkSession, paths: list[str], archive: str, now: date
 
 def open_files(spark: SparkSession, folder: str, log: str) -> list[str]:
     """Files of the folder that no run is done with; a rejected file is tried again."""
-    done = {
-        r["file_name"]
-        for r in latest_status(read_log(spark, log)).where(F.col("status").isin(DONE)).join(
-            spark.createDataFrame([(p,) for p in find_files(spark, folder)], "file_name string"), "file_name", "left_semi"
-        ).collect()
-    }
-    return [p for p in find_files(spark, folder) if p not in done]
+    found = find_files(spark, folder)
+    listed = spark.createDataFrame([(path,) for path in found], "file_name string")
+    decided = latest_status(read_log(spark, log).join(listed, "file_name", "left_semi"))
+    done = {r["file_name"] for r in decided.where(F.col("status").isin(DONE)).collect()}  # among the listed ones
+    return [path for path in found if path not in done]
 
 
 def ingest_folder(spark: SparkSession, folder: str, table: str, log: str, batch: str, **options) -> DataFrame | None:
