@@ -6,15 +6,16 @@ from collections.abc import Callable
 from datetime import date, datetime
 from functools import cache
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 from ebbtide.functions.checks import surely_invalid, surely_valid, violations
 from ebbtide.functions.features import ENGINEERED, add_engineered_features
-from ebbtide.operators import cleaning, drift, eda, ingest, joins, metrics, preprocess, reports, splits
-from ebbtide.operators.importance import permutation_importance, top_features
-from ebbtide.plans import exports, models, registry, retrain, scoring
+from ebbtide.operators import cleaning, drift, eda, importance, ingest, joins, metrics, preprocess, reports, splits
+from ebbtide.plans import exports, models, registry, scoring
+from ebbtide.plans import retrain as retraining
 from ebbtide.schemas import CHURN_RAW, CUSTOMER_COLUMNS, MODEL_REGISTRY, RAW_TO_CUSTOMER
 from ebbtide.session import shared_dir
 from ebbtide.sources import batches, derived
@@ -333,9 +334,9 @@ def _points() -> Column:
 
 
 @query
-def permutation_importance_rule(spark: SparkSession, sf: str) -> DataFrame:
+def permutation_importance(spark: SparkSession, sf: str) -> DataFrame:
     columns = ["age", "is_active_member", "num_products", "geography", "tenure"]
-    found = permutation_importance(
+    found = importance.permutation_importance(
         derived.table(spark, sf, "customers"),
         columns,
         lambda df: df.withColumn("prediction", F.when(_points() >= 500, 1).otherwise(0)),
@@ -454,9 +455,7 @@ def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
     return models.compare_models(frame(spark, sf))[0]
 
 
-def _logistic_scorer(spark: SparkSession, sf: str):
-    from pyspark.ml import PipelineModel
-
+def _logistic_scorer(spark: SparkSession, sf: str) -> PipelineModel:
     f = frame(spark, sf)
     model = models.fit_candidate(f, models.CANDIDATES[models.LOGISTIC])
     return PipelineModel(stages=[*f.preprocessor.stages, model])
@@ -478,7 +477,7 @@ def model_drift(spark: SparkSession, sf: str) -> DataFrame:
 def permutation_importance_model(spark: SparkSession, sf: str) -> DataFrame:
     f = frame(spark, sf)
     model = models.fit_candidate(f, models.CANDIDATES[models.LOGISTIC])
-    return top_features(models.importance(f, model, derived.table(spark, sf, "customers")))
+    return importance.top_features(models.importance(f, model, derived.table(spark, sf, "customers")))
 
 
 @query
@@ -487,12 +486,14 @@ def grid_search(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def retrain_events(spark: SparkSession, sf: str) -> DataFrame:
-    stamp = datetime.now().strftime("%Y%m%d%H%M%S%f")
-    outcome = retrain.retrain(
+def retrain(spark: SparkSession, sf: str) -> DataFrame:
+    """Events of a retraining over two candidates into a registry of its own."""
+    folder = scratch(spark, sf, f"retrain-{datetime.now():%Y%m%d%H%M%S%f}")
+    outcome = retraining.retrain(
         derived.table(spark, sf, "customers"),
-        scratch(spark, sf, f"registry-{stamp}"),
-        scratch(spark, sf, f"models-{stamp}"),
-        names=[models.LOGISTIC],
+        f"{folder}/registry",
+        f"{folder}/models",
+        names=[models.LOGISTIC, models.FOREST],
+        grids={models.FOREST: {"trees": [100], "max_depth": [8, 12]}},
     )
     return outcome.events

@@ -499,7 +499,7 @@ def _hit(changed: str | None) -> str:
 
 
 oracle(
-    "permutation_importance_rule",
+    "permutation_importance",
     "SELECT feature, ROUND(AVG(base - acc), 6) AS importance_mean, ROUND(STDDEV_POP(base - acc), 6) AS importance_std FROM ("
     + " UNION ALL ".join(f"SELECT '{c}' AS feature, rep, {_hit(None)} AS base, {_hit(c)} AS acc FROM paired GROUP BY rep" for c in _permuted)
     + ") t GROUP BY feature",

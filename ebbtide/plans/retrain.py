@@ -40,10 +40,11 @@ def retrain(
     names: list[str] | None = None,
     overrides: dict[str, dict[str, Any]] | None = None,
     grids: dict[str, dict[str, list]] | None = None,
-    weights: tuple[float, ...] | None = None,
+    weights: dict[str, tuple[float, ...]] | None = None,
     folds: int = FOLDS,
     now: datetime | None = None,
 ) -> Outcome:
+    """`grids` and `weights` replace the values tried for a candidate, `overrides` its defaults."""
     spark = customers.sparkSession
     log: list[tuple[datetime, str, str]] = []
 
@@ -70,7 +71,7 @@ def retrain(
     grid = (grids or {}).get(best)
     if grid is None and best == models.LOGISTIC:
         grid = models.RETRAIN_LOGISTIC_GRID
-    tuned = models.grid_search(frame, models.CANDIDATES[best], grid, weights, folds)
+    tuned = models.grid_search(frame, models.CANDIDATES[best], grid, (weights or {}).get(best), folds)
     measured = models.measure(best, models.score(tuned.model, frame.test)).first()
     auc = measured["ROC-AUC"]
     note("tuned", f"test {auc:.4f}, cross-validated {tuned.cv_auc:.4f}, {tuned.parameters}")
