@@ -10,7 +10,6 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
 from ebbtide.functions.checks import surely_invalid, surely_valid, violations
 from ebbtide.functions.features import ENGINEERED, add_engineered_features
 from ebbtide.operators import cleaning, drift, eda, importance, ingest, joins, metrics, preprocess, reports, splits

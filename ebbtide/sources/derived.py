@@ -103,7 +103,7 @@ FROM churn_raw
 REGISTRY_SQL = """
 SELECT CONCAT('v', CAST(tenure + 1 AS STRING)) AS version,
   CAST('2026-01-01 00:00:00' AS TIMESTAMP) AS training_date, COUNT(*) AS dataset_size,
-  ROUND(AVG(churn_probability) / 100, 6) AS roc_auc,
+  FLOOR(SUM(pm) * 10.0E0 / COUNT(*)) / 1.0E4 AS roc_auc,
   CONCAT('models/v', CAST(tenure + 1 AS STRING), '/model') AS model_path,
   CONCAT('models/v', CAST(tenure + 1 AS STRING), '/preprocessor') AS preprocessor_path,
   CASE WHEN tenure = 4 THEN 1 ELSE 0 END AS is_active
