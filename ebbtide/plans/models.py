@@ -152,7 +152,7 @@ class TrainingFrame:
         return self.rows.where("split = 'test'")
 
 
-ROWS_PER_TASK = 2500
+ROWS_PER_TASK = 20_000
 
 
 def _sized(df: DataFrame, rows: int) -> DataFrame:
