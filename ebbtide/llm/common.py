@@ -6,7 +6,9 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute  # noqa: F401
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ebbtide.session import shared_dir
 
@@ -15,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def normalized(text: Column) -> Column:
+    """Lower case, letters and digits only, one blank between words and at both ends."""
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\p{M}]+", " ")), F.lit(" "))
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """A new path under the folder all executors share."""
     return shared_dir(spark, "llm", f"{name}-{uuid.uuid4().hex}")
@@ -57,3 +64,14 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int = 1 <
             held += size
         if first < batch.num_rows:
             yield batch.slice(first)
+
+
+def only_keys(df: DataFrame, keys: DataFrame, key: str, most_bytes: int = 32 << 20) -> DataFrame:
+    """Rows of df whose key is among the keys (one column of whole numbers, stored before).
+
+    The keys are counted where they lie; up to most_bytes of them are broadcast, more are joined by
+    shuffling both sides.
+    """
+    slim = keys.select(key).distinct()
+    small = keys.count() * 16 <= most_bytes
+    return df.join(F.broadcast(slim) if small else slim.hint("shuffle_merge"), key, "left_semi")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import kd_sharding, packing, url_filter, warc
+from ebbtide.llm import decontamination, grid_order_join, kd_sharding, language_id, packing, signature_tree, toxicity, url_filter, warc
 from ebbtide.llm.common import fresh_dir, table
 
 QUERIES = {}
@@ -17,6 +17,22 @@ def query(function):
     return function
 
 
+def remainder(divisor: int):
+    """crc32 of the document's number as text, modulo the divisor: which fold it is in."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+# --- 1 ---------------------------------------------------------------------------------
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(documents, table(spark, sf_dir, "labels").where(remainder(5) != 0))
+    scored = toxicity.score_toxicity(documents, model)
+    return scored.select("doc_id", (remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 # --- 2 ---------------------------------------------------------------------------------
 
 
@@ -39,6 +55,41 @@ FROM f
 """
 
 
+# --- 3 ---------------------------------------------------------------------------------
+
+
+@query
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = language_id.fit_language_model(documents.where(remainder(3) != 1))
+    found = language_id.identify_language(documents, model)
+    return found.select("doc_id", (remainder(3) == 1).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+# --- 4 ---------------------------------------------------------------------------------
+
+
+@query
+def op4_grid_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_order_join.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+# --- 6 ---------------------------------------------------------------------------------
+
+
+@query
+def op6_signature_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_tree.near_documents(table(spark, sf_dir, "documents"))
+
+
+# --- 7 ---------------------------------------------------------------------------------
+
+
+@query
+def op7_edit_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 # --- 8 ---------------------------------------------------------------------------------
 
 
