@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import decontamination, grid_order_join, kd_sharding, language_id, packing, signature_tree, toxicity, url_filter, warc
+from ebbtide.llm import collinear_chains, decontamination, grid_order_join, kd_sharding, language_id, packing, signature_tree, toxicity, url_filter, warc
 from ebbtide.llm.common import fresh_dir, table
 
 QUERIES = {}
@@ -74,6 +74,14 @@ def op4_grid_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid_order_join.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+# --- 5 ---------------------------------------------------------------------------------
+
+
+@query
+def op5_collinear_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collinear_chains.shared_passages(table(spark, sf_dir, "documents")).withColumnsRenamed({"doc": "doc_id", "partner": "partner_id"})
+
+
 # --- 6 ---------------------------------------------------------------------------------
 
 
