@@ -66,6 +66,10 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int = 1 <
             yield batch.slice(first)
 
 
+def _few(keys: DataFrame, most_bytes: int, row_bytes: int = 16) -> bool:
+    return keys.count() * row_bytes <= most_bytes
+
+
 def only_keys(df: DataFrame, keys: DataFrame, key: str, most_bytes: int = 32 << 20) -> DataFrame:
     """Rows of df whose key is among the keys (one column of whole numbers, stored before).
 
@@ -73,5 +77,15 @@ def only_keys(df: DataFrame, keys: DataFrame, key: str, most_bytes: int = 32 <<
     shuffling both sides.
     """
     slim = keys.select(key).distinct()
-    small = keys.count() * 16 <= most_bytes
-    return df.join(F.broadcast(slim) if small else slim.hint("shuffle_merge"), key, "left_semi")
+    return df.join(F.broadcast(slim) if _few(keys, most_bytes) else slim.hint("shuffle_merge"), key, "left_semi")
+
+
+def without_keys(df: DataFrame, keys: DataFrame, key: str, most_bytes: int = 32 << 20) -> DataFrame:
+    """The other rows, by the same rules; rows without a key stay."""
+    slim = keys.select(key).distinct()
+    return df.join(F.broadcast(slim) if _few(keys, most_bytes) else slim.hint("shuffle_merge"), key, "left_anti")
+
+
+def beside(df: DataFrame, rows: DataFrame, condition: Column, row_bytes: int, most_bytes: int = 32 << 20) -> DataFrame:
+    """df with what a stored table has for each row, if anything; broadcast if it is small."""
+    return df.join(F.broadcast(rows) if _few(rows, most_bytes, row_bytes) else rows, condition, "left")

@@ -186,5 +186,5 @@ def without_leaks(
                 kept = batch.filter(pa.array(clean))
                 yield pa.RecordBatch.from_arrays(kept.columns[:place], schema=pa.schema(list(kept.schema)[:place]))
 
-        df = df.select(*[df[c] for c in columns], normalized(df[text]).alias("normalized text")).mapInArrow(run, df.schema)
+        df = df.select(*[df[f"`{c}`"] for c in columns], normalized(df[text]).alias("normalized text")).mapInArrow(run, df.schema)
     return df

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm.block_tree import block_pairs, with_payloads
-from ebbtide.llm.common import only_keys, shuffle_partitions, slices, stored
+from ebbtide.llm.common import beside, only_keys, shuffle_partitions, slices, stored, without_keys
 from ebbtide.llm.components import Union, components
 from ebbtide.llm.words import shingle_sets, text_bytes, words_of
 
@@ -148,11 +148,7 @@ def sketch(df: DataFrame, key: str, text: str, shingle: int, percent: int, frequ
                 s2.append(int(np.bitwise_xor.reduce(numbers * np.uint64(0x9E3779B97F4A7C15) ^ numbers >> np.uint64(29)).view(np.int64)) if len(numbers) else 0)
                 maps.append(bitmap(numbers))
                 length = prefix_length(len(numbers), percent) if len(numbers) else 0
-                if len(frequent) and length:
-                    at = np.minimum(np.searchsorted(frequent, numbers), len(frequent) - 1)
-                    late = frequent[at] == numbers
-                    numbers = np.concatenate([numbers[~late], numbers[late]])
-                prefixes.append(numbers[:length].view(np.int64))
+                prefixes.append(_ordered(numbers, frequent)[:length].view(np.int64))
             bounds = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(prefixes)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(maps, pa.binary()), lists], names=["doc", "n", "s1", "s2", "map", "prefix"])
@@ -160,16 +156,28 @@ def sketch(df: DataFrame, key: str, text: str, shingle: int, percent: int, frequ
     return slim.mapInArrow(run, "doc long, n long, s1 long, s2 long, map binary, prefix array<long>")
 
 
-def _sets(df: DataFrame, key: str, text: str, wanted: DataFrame, shingle: int) -> DataFrame:
-    """doc and its set, as sorted 64-bit numbers, of the wanted documents (a stored column doc)."""
+def _ordered(numbers: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """A sorted set in the order of the prefixes: frequent shingles last."""
+    if not len(frequent) or not len(numbers):
+        return numbers
+    late = frequent[np.minimum(np.searchsorted(frequent, numbers), len(frequent) - 1)] == numbers
+    return np.concatenate([numbers[~late], numbers[late]])
+
+
+def _sets(df: DataFrame, key: str, text: str, wanted: DataFrame, shingle: int, frequent: np.ndarray) -> DataFrame:
+    """root (the first shingle), doc, n, map and the sorted set of the wanted documents (a stored column doc)."""
     slim = df.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
-            sets = [s.tobytes() for s in shingle_sets(words_of(*text_bytes(batch.column(1))), shingle)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["doc", "shingles"])
+            docs, rows = batch.column(0).to_pylist(), []
+            for doc, numbers in zip(docs, shingle_sets(words_of(*text_bytes(batch.column(1))), shingle), strict=True):
+                if len(numbers):
+                    rows.append((int(_ordered(numbers, frequent)[0].view(np.int64)), doc, len(numbers), bitmap(numbers), numbers.tobytes()))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(ROW_TYPES)], names=LINK_NAMES[2:])
 
-    return only_keys(slim, wanted, "doc").mapInArrow(run, "doc long, shingles binary")
+    return only_keys(slim, wanted, "doc").mapInArrow(run, "root long, doc long, n long, map binary, shingles binary")
 
 
 def _runs(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[tuple[int, list[tuple], bool]]:
@@ -232,11 +240,11 @@ def _several(rows: DataFrame, column: str) -> DataFrame:
     return ends.where("lo < hi").select("root")
 
 
-def _by_first_shingle(df: DataFrame, key: str, text: str, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _by_first_shingle(df: DataFrame, key: str, text: str, classes: DataFrame, shingle: int, percent: int, frequent: np.ndarray) -> DataFrame:
     spark = df.sparkSession
-    rows = classes.select(F.col("prefix")[0].alias("root"), "doc", "n", "map")
-    rows = stored(rows.join(_several(rows, "doc"), "root", "left_semi"), "rooted")
-    rows = rows.join(_sets(df, key, text, rows.select("doc"), shingle), "doc").select("root", "doc", "n", "map", "shingles")
+    roots = classes.select(F.col("prefix")[0].alias("root"), "doc")
+    wanted = stored(roots.join(_several(roots, "doc"), "root", "left_semi").select("doc"), "rooted")
+    rows = _sets(df, key, text, wanted, shingle, frequent)
     found, left = None, None
     while True:
         order = rows.repartitionByRange(shuffle_partitions(spark), "root", "n", "doc").sortWithinPartitions("root", "n", "doc")
@@ -252,60 +260,160 @@ def _by_first_shingle(df: DataFrame, key: str, text: str, classes: DataFrame, sh
         rows, left = rest, count
 
 
-def _meeting(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows in order of their root, those whose root has different components, or may have."""
-    held: list[tuple[np.ndarray, ...]] = []
-    kept_root = None  # a root whose rows so far were passed on
+def _meeting(percent: int):
+    """Of rows root, doc, shift, mark in order of their root, those that can have a link under it.
 
-    def out(columns: tuple[np.ndarray, ...], keep: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if keep.any():
-            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], names=["root", "doc", "component", "n"])
+    shift is the component less the document; mark is twice the size, and one more if the root is
+    among the document's first |x| - ceil(2t / (1 + t) |x|) + 1 shingles: of two similar sets that
+    share a root, that holds for the smaller one and some root. Roots with few documents are looked at
+    pair by pair; a root with more is passed on if it has different components or goes on elsewhere.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[np.ndarray, ...] | None = None
+        going_on = None  # the root of the first rows, or one of which rows were passed on
+
+        def out(columns: tuple[np.ndarray, ...], last: bool) -> Iterator[pa.RecordBatch]:
+            root, doc, shift, mark = columns
+            if not len(root):
+                return
+            component = doc + shift
+            starts = np.flatnonzero(np.concatenate([[True], root[1:] != root[:-1]]))
+            lengths = np.diff(np.append(starts, len(root)))
+            open_ = root == going_on
+            if last:
+                open_ |= root == root[-1]
+            large = np.repeat((lengths > FAN) & (np.minimum.reduceat(component, starts) < np.maximum.reduceat(component, starts)), lengths)
+            keep = open_ | large
+            for step in range(1, FAN):
+                i = np.flatnonzero(root[step:] == root[:-step])
+                if not len(i):
+                    break
+                i = i[_sizes_allow(mark[i], mark[i + step], percent) & (component[i] != component[i + step])]
+                small = np.repeat(lengths <= FAN, lengths)[i]
+                keep[i[small]] = keep[i[small] + step] = True
+            if keep.any():
+                yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], names=["root", "doc", "shift", "mark"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = tuple(c.to_numpy() for c in batch.columns)
+            columns = new if held is None else tuple(np.concatenate(x) for x in zip(held, new, strict=True))
+            if going_on is None:
+                going_on = columns[0][0]
+            tail = int(np.searchsorted(columns[0], columns[0][-1]))
+            if len(columns[0]) - tail > 10_000:
+                yield from out(columns, True)
+                going_on, held = columns[0][-1], None
+            else:
+                yield from out(tuple(c[:tail] for c in columns), False)
+                held = tuple(c[tail:] for c in columns)
+        if held is not None:
+            yield from out(held, True)
+
+    return run
+
+
+def _sizes_allow(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets with these marks that share a root there can be similar."""
+    x, y = a >> 1, b >> 1
+    ratio = (100 * x >= percent * y) & (100 * y >= percent * x)
+    return ratio & (((a & 1) == 1) & (x <= y) | ((b & 1) == 1) & (y <= x))
+
+
+def short_prefix_length(size: int, percent: int) -> int:
+    return size - -(-2 * percent * size // (100 + percent)) + 1
+
+
+def _roots_of_few(root: np.ndarray) -> np.ndarray:
+    """Whether the rows' root has at most FAN rows, and neither begins nor ends the batch."""
+    starts = np.flatnonzero(np.concatenate([[True], root[1:] != root[:-1]]))
+    lengths = np.diff(np.append(starts, len(root)))
+    few = lengths <= FAN
+    few[[0, -1]] = False
+    return np.repeat(few, lengths)
 
-    first = True
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(tuple(c.to_numpy() for c in batch.columns))
-        columns = tuple(np.concatenate(x) for x in zip(*held, strict=True))
-        root, component = columns[0], columns[2]
-        starts = np.flatnonzero(np.concatenate([[True], root[1:] != root[:-1]]))
-        lengths = np.diff(np.append(starts, len(root)))
-        mixed = np.minimum.reduceat(component, starts) < np.maximum.reduceat(component, starts)
-        if first:
-            mixed[0], first = True, False  # it may have begun in the partition before
-        if kept_root is not None and root[0] == kept_root:
-            mixed[0] = True
-        keep = np.repeat(mixed, lengths)
-        if lengths[-1] < 10_000:  # wait for the rest of the last root
-            tail = starts[-1]
-            keep[tail:] = False
-            held = [tuple(c[tail:] for c in columns)]
-            kept_root = kept_root if len(starts) == 1 and kept_root == root[0] else (root[0] if len(starts) == 1 and mixed[0] else None)
-        else:
-            keep[starts[-1] :] = True
-            held, kept_root = [], root[-1]
-        yield from out(columns, keep)
-    if held and len(held[0][0]):
-        yield from out(held[0], np.ones(len(held[0][0]), dtype=bool))
-
-
-def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows root, doc, n, map, component in order to blocks with their summaries."""
-    part, seq = TaskContext.get().partitionId(), 0
-    for root, rows, _ in _runs(batches, BLOCK):
-        maps, sizes, parts = _maps(rows, 3), np.array([r[2] for r in rows], dtype=np.int64), np.array([r[4] for r in rows], dtype=np.int64)
-        coarse = np.bitwise_or.reduce(maps.reshape(len(rows), -1, COARSE), axis=1)
-        slack = int((sizes - np.bitwise_count(coarse).sum(axis=1)).max())
-        whole = np.bitwise_or.reduce(coarse, axis=0).view(np.int64).tolist()
-        docs = np.array([r[1] for r in rows], dtype=np.int64)
-        row = [root, part, seq, docs.tobytes(), sizes.tobytes(), parts.tobytes(), maps.tobytes(), int(sizes.min()), int(sizes.max()), slack, int(parts.min()), int(parts.max()), *whole]
-        types = [pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 4, *[pa.int64()] * (5 + COARSE)]
-        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], names=BLOCK_NAMES)
-        seq += 1
+
+def _few_met(batch: pa.RecordBatch, percent: int) -> pa.RecordBatch | None:
+    """Pairs under roots that are one node with its documents: their signatures are compared at once."""
+    if not batch.num_rows:
+        return None
+    root, doc, mark, component = (batch.column(c).to_numpy() for c in ("root", "doc", "mark", "component"))
+    maps = np.frombuffer(b"".join(batch.column("map").to_pylist()), dtype=np.uint64).reshape(-1, WORDS)
+    sizes = mark >> 1
+    slack = sizes - np.bitwise_count(maps).sum(axis=1).astype(np.int64)
+    ends = []
+    for step in range(1, FAN):
+        i = np.flatnonzero(root[step:] == root[:-step])
+        if not len(i):
+            break
+        j = i + step
+        keep = _sizes_allow(mark[i], mark[j], percent) & (component[i] != component[j])
+        i, j = i[keep], j[keep]
+        for first in range(0, len(i), 50_000):
+            x, y = i[first : first + 50_000], j[first : first + 50_000]
+            common = np.bitwise_count(maps[x] & maps[y]).sum(axis=1).astype(np.int64)
+            most = np.minimum(np.minimum(sizes[x], sizes[y]), common + np.minimum(slack[x], slack[y]))
+            near = most * (100 + percent) >= percent * (sizes[x] + sizes[y])
+            ends.append((doc[x[near]], doc[y[near]]))
+    if not ends:
+        return None
+    a, b = (np.concatenate(e) for e in zip(*ends, strict=True))
+    return _met_batch(np.minimum(a, b), np.maximum(a, b)) if len(a) else None
+
+
+def _met_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), *[pa.nulls(len(a), t) for t in BLOCK_TYPES]], names=MET_NAMES)
+
+
+def _trees(percent: int):
+    """Rows root, doc, mark, map, component in order: pairs that may be similar and have different
+    components, and blocks with their summaries of roots that have several blocks."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, seq = TaskContext.get().partitionId(), 0
+
+        def larger() -> Iterator[pa.RecordBatch]:
+            """Rows that _few_met does not deal with; it yields the others' pairs to `met`."""
+            for batch in batches:
+                if batch.num_rows:
+                    few = _roots_of_few(batch.column("root").to_numpy())
+                    met.append(_few_met(batch.filter(pa.array(few)), percent))
+                    yield batch.filter(pa.array(~few))
+
+        met: list[pa.RecordBatch | None] = []
+        for root, rows, more in _runs(larger(), BLOCK):
+            yield from filter(None, met)
+            met.clear()
+            if len(rows) == 1 and not more:
+                continue
+            docs, sizes, parts = (np.array([r[c] for r in rows], dtype=np.int64) for c in (1, 2, 4))
+            sizes >>= 1
+            maps = _maps(rows, 3)
+            if not more:
+                tree = Tree.over(maps, sizes)
+                i, j = meet(tree, tree, True, percent)
+                apart = parts[i] != parts[j]
+                a, b = docs[i[apart]], docs[j[apart]]
+                if len(a):
+                    yield _met_batch(np.minimum(a, b), np.maximum(a, b))
+                continue
+            coarse = np.bitwise_or.reduce(maps.reshape(len(rows), -1, COARSE), axis=1)
+            slack = int((sizes - np.bitwise_count(coarse).sum(axis=1)).max())
+            whole = np.bitwise_or.reduce(coarse, axis=0).view(np.int64).tolist()
+            row = [None, None, root, part, seq, docs.tobytes(), sizes.tobytes(), parts.tobytes(), maps.tobytes(), int(sizes.min()), int(sizes.max()), slack, int(parts.min()), int(parts.max()), *whole]
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, [pa.int64(), pa.int64(), *BLOCK_TYPES], strict=True)], names=MET_NAMES)
+            seq += 1
+        yield from filter(None, met)
+
+    return run
 
 
 SUMMARY = ["lo_n", "hi_n", "slack", "lo_part", "hi_part", *[f"w{i}" for i in range(COARSE)]]
 BLOCK_NAMES = ["root", "part", "seq", "docs", "sizes", "parts", "maps", *SUMMARY]
+MET_NAMES = ["a", "b", *BLOCK_NAMES]
+BLOCK_TYPES = [pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 4, *[pa.int64()] * len(SUMMARY)]
 BLOCK_SCHEMA = "root long, part int, seq long, docs binary, sizes binary, parts binary, maps binary, " + ", ".join(f"{c} long" for c in SUMMARY)
 
 
@@ -327,18 +435,25 @@ def _candidates(percent: int):
     return run
 
 
-def _by_all_prefixes(df: DataFrame, key: str, text: str, classes: DataFrame, parts: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _by_all_prefixes(
+    df: DataFrame, key: str, text: str, classes: DataFrame, parts: DataFrame, shingle: int, percent: int, frequent: np.ndarray
+) -> DataFrame:
     spark = df.sparkSession
     count = shuffle_partitions(spark)
-    known = classes.select("doc", "n", "prefix").join(parts.withColumnRenamed("node", "doc"), "doc", "left")
-    rooted = known.select(F.explode("prefix").alias("root"), "doc", F.coalesce("component", "doc").alias("component"), "n")
+    component = parts.select(F.col("node"), "component")
+    known = beside(classes, component, classes["doc"] == component["node"], 16)
+    short = F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / (100 + percent)).cast("long") + 2  # one more, should the division round
+    rooted = known.select("doc", (F.coalesce("component", "doc") - F.col("doc")).alias("shift"), "n", short.alias("short"), F.posexplode("prefix").alias("at", "root"))
+    rooted = rooted.select("root", "doc", "shift", (F.col("n") * 2 + (F.col("at") < F.col("short")).cast("long")).alias("mark"))
     order = rooted.repartitionByRange(count, "root", "doc").sortWithinPartitions("root", "doc")
-    shared = stored(order.mapInArrow(_meeting, "root long, doc long, component long, n long"), "shared")
-    shared = stored(shared.join(_several(shared, "component"), "root", "left_semi"), "shared")
+    shared = stored(order.mapInArrow(_meeting(percent), "root long, doc long, shift long, mark long"), "shared")
+    shared = shared.withColumn("component", F.col("doc") + F.col("shift"))
+    shared = stored(shared.join(_several(shared, "component"), "root", "left_semi").select("root", "doc", "mark", "component"), "shared")
     maps = only_keys(classes.select("doc", "map"), shared.select("doc"), "doc")
-    rows = shared.join(maps, "doc").select("root", "doc", "n", "map", "component")
-    cut = rows.repartitionByRange(count, "root", "n", "doc").sortWithinPartitions("root", "n", "doc").mapInArrow(_cut, BLOCK_SCHEMA)
-    blocks = stored(cut, "signature-blocks")
+    rows = shared.join(maps, "doc").select("root", "doc", "mark", "map", "component")
+    order = rows.repartitionByRange(count, "root", "mark", "doc").sortWithinPartitions("root", "mark", "doc")
+    met = stored(order.mapInArrow(_trees(percent), f"a long, b long, {BLOCK_SCHEMA}"), "met")
+    blocks = met.where("root IS NOT NULL").drop("a", "b")
 
     def may_join(left, right):
         common = F.lit(0).cast("long")
@@ -351,9 +466,10 @@ def _by_all_prefixes(df: DataFrame, key: str, text: str, classes: DataFrame, par
 
     merges = {"lo_n": F.min, "hi_n": F.max, "slack": F.max, "lo_part": F.min, "hi_part": F.max} | {f"w{i}": F.bit_or for i in range(COARSE)}
     pairs = with_payloads(block_pairs(blocks, merges, may_join), blocks, ["docs", "sizes", "parts", "maps"])
-    found = stored(pairs.mapInArrow(_candidates(percent), "a long, b long").distinct(), "candidates")
+    direct = met.where("a IS NOT NULL").select("a", "b")
+    found = stored(direct.unionByName(pairs.mapInArrow(_candidates(percent), "a long, b long")).distinct(), "candidates")
     wanted = stored(found.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "candidate-documents")
-    sets = stored(_sets(df, key, text, wanted, shingle).dropDuplicates(["doc"]), "candidate-sets")
+    sets = stored(_sets(df, key, text, wanted, shingle, frequent).select("doc", "shingles").dropDuplicates(["doc"]), "candidate-sets")
     both = found.join(sets.select(F.col("doc").alias("a"), F.col("shingles").alias("left")), "a").join(sets.select(F.col("doc").alias("b"), F.col("shingles").alias("right")), "b")
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -375,15 +491,18 @@ def near_documents(df: DataFrame, key: str = "doc_id", text: str = "text", shing
     their own row. Rows that share a key are one document in the components; a row without a key has
     no link and no component. An empty table gives no rows; other columns are not read.
     """
-    rows = stored(sketch(df, key, text, shingle, percent, frequent_shingles(df, text, shingle)), "sketches")
+    frequent = frequent_shingles(df, text, shingle)
+    rows = stored(sketch(df, key, text, shingle, percent, frequent), "sketches")
     marks = ["n", "s1", "s2"]
-    first = rows.where("n > 0 AND doc IS NOT NULL").groupBy(*marks).agg(F.min("doc").alias("doc"))
-    first = stored(first, "classes")
-    classes = rows.join(first, [*marks, "doc"]).select("doc", "n", "map", "prefix")
-    classes = stored(classes, "class-sketches")
-    links = _by_first_shingle(df, key, text, classes, shingle, percent)
+    usable = rows.where("n > 0 AND doc IS NOT NULL")
+    first = stored(usable.groupBy(*marks).agg(F.min("doc").alias("first"), F.max("doc").alias("last")), "classes")
+    copies = usable.select("doc", *marks).join(first.where("first < last").select("first", *marks), marks).where("doc > first").select("doc")
+    copies = stored(without_keys(copies, first.select(F.col("first").alias("doc")), "doc"), "copies")
+    classes = without_keys(usable.select("doc", "n", "map", "prefix"), copies, "doc")
+    links = _by_first_shingle(df, key, text, classes, shingle, percent, frequent)
     parts = stored(components(links), "parts")
-    more = stored(_by_all_prefixes(df, key, text, classes, parts, shingle, percent), "more-links")
+    more = stored(_by_all_prefixes(df, key, text, classes, parts, shingle, percent, frequent), "more-links")
+    first = first.select(F.col("first").alias("doc"), *marks)
     # a document with several texts stands in several classes
     own = rows.select("doc", *marks).where("n > 0 AND doc IS NOT NULL").join(first.withColumnRenamed("doc", "first"), marks)
     twice = own.where("doc <> first").select(F.col("doc").alias("a"), F.col("first").alias("b"))
@@ -394,3 +513,17 @@ def near_documents(df: DataFrame, key: str = "doc_id", text: str = "text", shing
     out = rows.select("doc", *marks).join(stored(named, "named"), marks, "left")
     component = F.when(F.col("doc").isNotNull(), F.coalesce(F.least("component", "doc"), F.col("doc")))
     return out.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def drop_near_documents(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The documents, with all their columns, of which no earlier one is in the same component.
+
+    Of rows that share a key one stays. Rows without a key all stay.
+    """
+    near = stored(near_documents(df, key, text, shingle, percent), "near-documents")
+    gone = stored(near.where(F.col(key) != F.col("component_id")).select(key), "near-gone")
+    kept = without_keys(df, gone, key)
+    repeated = stored(near.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key), "repeated")
+    if not repeated.take(1):
+        return kept
+    return without_keys(kept, repeated, key).unionByName(only_keys(kept, repeated, key).dropDuplicates([key]).select(*df.columns))

@@ -214,7 +214,7 @@ def _scored(df: DataFrame, model: ToxicityModel, text: str, least: float | None)
                 kept = batch.filter(pa.array(scores < least))
                 yield pa.RecordBatch.from_arrays(kept.columns[:place], schema=pa.schema(fields))
 
-    wide = df.select(*[df[c] for c in columns], normalized(df[text]).alias("text to score"))
+    wide = df.select(*[df[f"`{c}`"] for c in columns], normalized(df[text]).alias("text to score"))
     schema = df.schema if least is not None else df.select("*", F.lit(0.0).alias("score")).schema
     return wide.mapInArrow(run, schema)
 
