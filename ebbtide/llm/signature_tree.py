@@ -13,9 +13,9 @@ prefixes). The order puts shingles that are frequent in a sample last, so few ro
 documents; it changes the work, not the result.
 
 First only each document's first shingle is a root, and documents with the same root are compared
-by their sets. This finds nearly all links. Then all prefix shingles are roots, but only those under
-which different components meet, and only pairs of different components are compared; what passes the
-bitmaps is checked by the sets. The components are therefore those of all links, though copies and
+by their sets. This finds most links. Then all prefix shingles are roots, but only those under which
+different components meet, and only pairs of different components are compared, first one pair per
+document, in the end all; what passes the bitmaps is checked by the sets. The components are therefore those of all links, though copies and
 near copies in large groups are not compared all with all.
 """
 
@@ -335,7 +335,7 @@ def _roots_of_few(root: np.ndarray) -> np.ndarray:
     return np.repeat(few, lengths)
 
 
-def _few_met(batch: pa.RecordBatch, percent: int) -> pa.RecordBatch | None:
+def _few_met(batch: pa.RecordBatch, percent: int, nearest: bool) -> pa.RecordBatch | None:
     """Pairs under roots that are one node with its documents: their signatures are compared at once."""
     if not batch.num_rows:
         return None
@@ -360,16 +360,23 @@ def _few_met(batch: pa.RecordBatch, percent: int) -> pa.RecordBatch | None:
     if not ends:
         return None
     a, b = (np.concatenate(e) for e in zip(*ends, strict=True))
-    return _met_batch(np.minimum(a, b), np.maximum(a, b)) if len(a) else None
+    return _met_batch(a, b, nearest) if len(a) else None
 
 
-def _met_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+def _met_batch(x: np.ndarray, y: np.ndarray, nearest: bool) -> pa.RecordBatch:
+    """Pairs as rows; with nearest, only one of each document with smaller ones."""
+    a, b = np.minimum(x, y), np.maximum(x, y)
+    if nearest:
+        order = np.lexsort((a, b))
+        first = order[np.flatnonzero(np.concatenate([[True], b[order][1:] != b[order][:-1]]))]
+        a, b = a[first], b[first]
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), *[pa.nulls(len(a), t) for t in BLOCK_TYPES]], names=MET_NAMES)
 
 
-def _trees(percent: int):
+def _trees(percent: int, nearest: bool):
     """Rows root, doc, mark, map, component in order: pairs that may be similar and have different
-    components, and blocks with their summaries of roots that have several blocks."""
+    components, and blocks with their summaries of roots that have several blocks. With nearest, each
+    document is paired with one smaller one at most, within its block."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
@@ -379,7 +386,7 @@ def _trees(percent: int):
             for batch in batches:
                 if batch.num_rows:
                     few = _roots_of_few(batch.column("root").to_numpy())
-                    met.append(_few_met(batch.filter(pa.array(few)), percent))
+                    met.append(_few_met(batch.filter(pa.array(few)), percent, nearest))
                     yield batch.filter(pa.array(~few))
 
         met: list[pa.RecordBatch | None] = []
@@ -391,13 +398,12 @@ def _trees(percent: int):
             docs, sizes, parts = (np.array([r[c] for r in rows], dtype=np.int64) for c in (1, 2, 4))
             sizes >>= 1
             maps = _maps(rows, 3)
-            if not more:
+            if nearest or not more:
                 tree = Tree.over(maps, sizes)
                 i, j = meet(tree, tree, True, percent)
                 apart = parts[i] != parts[j]
-                a, b = docs[i[apart]], docs[j[apart]]
-                if len(a):
-                    yield _met_batch(np.minimum(a, b), np.maximum(a, b))
+                if apart.any():
+                    yield _met_batch(docs[i[apart]], docs[j[apart]], nearest)
                 continue
             coarse = np.bitwise_or.reduce(maps.reshape(len(rows), -1, COARSE), axis=1)
             slack = int((sizes - np.bitwise_count(coarse).sum(axis=1)).max())
@@ -440,20 +446,41 @@ def _by_all_prefixes(
 ) -> DataFrame:
     spark = df.sparkSession
     count = shuffle_partitions(spark)
-    component = parts.select(F.col("node"), "component")
-    known = beside(classes, component, classes["doc"] == component["node"], 16)
+    known = _with_components(classes, parts)
     short = F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / (100 + percent)).cast("long") + 2  # one more, should the division round
-    rooted = known.select("doc", (F.coalesce("component", "doc") - F.col("doc")).alias("shift"), "n", short.alias("short"), F.posexplode("prefix").alias("at", "root"))
+    rooted = known.select("doc", (F.col("component") - F.col("doc")).alias("shift"), "n", short.alias("short"), F.posexplode("prefix").alias("at", "root"))
     rooted = rooted.select("root", "doc", "shift", (F.col("n") * 2 + (F.col("at") < F.col("short")).cast("long")).alias("mark"))
     order = rooted.repartitionByRange(count, "root", "doc").sortWithinPartitions("root", "doc")
-    shared = stored(order.mapInArrow(_meeting(percent), "root long, doc long, shift long, mark long"), "shared")
-    shared = shared.withColumn("component", F.col("doc") + F.col("shift"))
-    shared = stored(shared.join(_several(shared, "component"), "root", "left_semi").select("root", "doc", "mark", "component"), "shared")
-    maps = only_keys(classes.select("doc", "map"), shared.select("doc"), "doc")
-    rows = shared.join(maps, "doc").select("root", "doc", "mark", "map", "component")
-    order = rows.repartitionByRange(count, "root", "mark", "doc").sortWithinPartitions("root", "mark", "doc")
-    met = stored(order.mapInArrow(_trees(percent), f"a long, b long, {BLOCK_SCHEMA}"), "met")
-    blocks = met.where("root IS NOT NULL").drop("a", "b")
+    shared = stored(order.mapInArrow(_meeting(percent), "root long, doc long, shift long, mark long"), "shared").drop("shift")
+    links = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    # a round over one pair per document joins what is left of large groups, so that the last one, over
+    # all pairs, meets few that are connected anyway
+    for nearest in (True, False):
+        apart = _with_components(shared, parts)
+        shared = stored(apart.join(_several(apart, "component"), "root", "left_semi"), "shared")
+        maps = only_keys(classes.select("doc", "map"), shared.select("doc"), "doc")
+        rows = shared.join(maps, "doc").select("root", "doc", "mark", "map", "component")
+        order = rows.repartitionByRange(count, "root", "mark", "doc").sortWithinPartitions("root", "mark", "doc")
+        met = stored(order.mapInArrow(_trees(percent, nearest), f"a long, b long, {BLOCK_SCHEMA}"), "met")
+        found = met.where("a IS NOT NULL").select("a", "b")
+        if nearest:
+            found = found.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+        else:
+            found = found.unionByName(_across_blocks(met.where("root IS NOT NULL").drop("a", "b"), percent)).distinct()
+        links = links.unionByName(_checked(df, key, text, stored(found, "candidates"), shingle, percent, frequent))
+        parts = stored(components(links), "parts")
+        links = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        shared = shared.drop("component")
+    return parts
+
+
+def _with_components(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    wide = beside(rows, parts, rows["doc"] == parts["node"], 16)
+    return wide.select(*[rows[c] for c in rows.columns], F.coalesce(parts["component"], rows["doc"]).alias("component"))
+
+
+def _across_blocks(blocks: DataFrame, percent: int) -> DataFrame:
+    """Pairs of roots with several blocks, from the blocks whose summaries allow one."""
 
     def may_join(left, right):
         common = F.lit(0).cast("long")
@@ -466,8 +493,11 @@ def _by_all_prefixes(
 
     merges = {"lo_n": F.min, "hi_n": F.max, "slack": F.max, "lo_part": F.min, "hi_part": F.max} | {f"w{i}": F.bit_or for i in range(COARSE)}
     pairs = with_payloads(block_pairs(blocks, merges, may_join), blocks, ["docs", "sizes", "parts", "maps"])
-    direct = met.where("a IS NOT NULL").select("a", "b")
-    found = stored(direct.unionByName(pairs.mapInArrow(_candidates(percent), "a long, b long")).distinct(), "candidates")
+    return pairs.mapInArrow(_candidates(percent), "a long, b long")
+
+
+def _checked(df: DataFrame, key: str, text: str, found: DataFrame, shingle: int, percent: int, frequent: np.ndarray) -> DataFrame:
+    """The pairs of documents a, b that are similar, by their sets."""
     wanted = stored(found.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "candidate-documents")
     sets = stored(_sets(df, key, text, wanted, shingle, frequent).select("doc", "shingles").dropDuplicates(["doc"]), "candidate-sets")
     both = found.join(sets.select(F.col("doc").alias("a"), F.col("shingles").alias("left")), "a").join(sets.select(F.col("doc").alias("b"), F.col("shingles").alias("right")), "b")
@@ -479,7 +509,7 @@ def _by_all_prefixes(
             kept = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], names=["a", "b"])
 
-    return both.mapInArrow(check, "a long, b long")
+    return stored(both.mapInArrow(check, "a long, b long"), "more-links")
 
 
 def near_documents(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -501,14 +531,14 @@ def near_documents(df: DataFrame, key: str = "doc_id", text: str = "text", shing
     classes = without_keys(usable.select("doc", "n", "map", "prefix"), copies, "doc")
     links = _by_first_shingle(df, key, text, classes, shingle, percent, frequent)
     parts = stored(components(links), "parts")
-    more = stored(_by_all_prefixes(df, key, text, classes, parts, shingle, percent, frequent), "more-links")
+    parts = _by_all_prefixes(df, key, text, classes, parts, shingle, percent, frequent)
     first = first.select(F.col("first").alias("doc"), *marks)
     # a document with several texts stands in several classes
     own = rows.select("doc", *marks).where("n > 0 AND doc IS NOT NULL").join(first.withColumnRenamed("doc", "first"), marks)
     twice = own.where("doc <> first").select(F.col("doc").alias("a"), F.col("first").alias("b"))
     several = rows.where("doc IS NOT NULL").groupBy("doc").agg(F.min("s1").alias("lo"), F.max("s1").alias("hi")).where("lo < hi").select(F.col("doc").alias("a"))
     twice = twice.join(several, "a", "left_semi")
-    whole = components(parts.select("node", "component").toDF("a", "b").unionByName(more).unionByName(twice))
+    whole = components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(twice))
     named = first.join(whole.withColumnRenamed("node", "doc"), "doc", "left").select(*marks, F.coalesce("component", "doc").alias("component"))
     out = rows.select("doc", *marks).join(stored(named, "named"), marks, "left")
     component = F.when(F.col("doc").isNotNull(), F.coalesce(F.least("component", "doc"), F.col("doc")))
