@@ -235,6 +235,9 @@ QUERIES["credit_box_stats"] = on("customers", eda.box_stats)
 QUERIES["credit_outliers"] = on(
     "customers", lambda df: eda.outliers(df).select("customer_id", "credit_score", "exited")
 )
+QUERIES["products_outliers"] = on(
+    "customers", lambda df: eda.outliers(df, "num_products").select("customer_id", "num_products", "exited")
+)
 QUERIES["kde_age"] = on(
     "customers",
     lambda df: eda.kde(df, "age").withColumns({"x": F.round("x", 3), "density": F.round("density", 8)}),
@@ -279,8 +282,8 @@ def scale_numeric(spark: SparkSession, sf: str) -> DataFrame:
 def impute_mode(spark: SparkSession, sf: str) -> DataFrame:
     df = _unfilled(derived.table(spark, sf, "churn_raw"))
     columns = preprocess.CATEGORICAL + preprocess.BINARY
-    modes = {c: preprocess.most_frequent(v) for c, v in preprocess.value_counts(df, columns).items()}
-    return df.select("customer_id", *[F.coalesce(F.col(c).cast("string"), F.lit(modes[c])).alias(c) for c in columns])
+    modes = preprocess.modes(preprocess.value_counts(df, columns))
+    return df.select("customer_id", *[F.coalesce(F.col(c).cast("string"), F.lit(modes.get(c))).alias(c) for c in columns])
 
 
 def _encoded(spark: SparkSession, sf: str) -> tuple[DataFrame, preprocess.ChurnPreprocessorModel]:
@@ -371,11 +374,34 @@ QUERIES["best_model"] = on("scored", lambda df: models.best_model(_rule_metrics(
 QUERIES["auc_ranking"] = on("scored", lambda df: models.auc_ranking(_rule_metrics(df)))
 QUERIES["precision_vs_recall"] = on("scored", lambda df: models.precision_vs_recall(_rule_metrics(df)))
 
+
+
+@query
+def metrics_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Metrics as training stores them: the table is replaced, the BI copy is a CSV."""
+    folder = scratch(spark, sf, "metrics")
+    measured = _rule_metrics(derived.table(spark, sf, "scored"))
+    exports.replace_table(measured, f"{folder}/model_metrics")
+    stored = spark.read.parquet(f"{folder}/model_metrics")
+    exports.write_csv(stored, f"{folder}/bi/model_metrics", single=True)
+    copy = spark.read.schema(stored.schema).option("header", True).csv(f"{folder}/bi/model_metrics")
+    return stored.withColumn("place", F.lit("table")).unionByName(copy.withColumn("place", F.lit("bi")))
+
+
+@query
+def saved_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """The split as it is saved for later runs, a folder per part."""
+    folder = scratch(spark, sf, "splits")
+    exports.save_splits(splits.stratified_split(derived.table(spark, sf, "customers")), folder)
+    return spark.read.parquet(folder).select("customer_id", "exited", "split")
+
+
 # --- registry ------------------------------------------------------------------------------------
 
 QUERIES["next_version"] = on("registry", registry.next_version)
 QUERIES["registry_active"] = on("registry", registry.active)
 QUERIES["registry_card"] = on("registry", registry.active_card)
+QUERIES["registry_card_without_model"] = on("registry", lambda df: registry.active_card(df.where("is_active > 1")))
 
 
 @query
@@ -476,7 +502,7 @@ def model_drift(spark: SparkSession, sf: str) -> DataFrame:
 def permutation_importance_model(spark: SparkSession, sf: str) -> DataFrame:
     f = frame(spark, sf)
     model = models.fit_candidate(f, models.CANDIDATES[models.LOGISTIC])
-    return importance.top_features(models.importance(f, model, derived.table(spark, sf, "customers")))
+    return importance.top_features(models.importance(f, model))
 
 
 @query

@@ -49,12 +49,13 @@ def modes(df: DataFrame, columns: list[str]) -> dict[str, str | None]:
     Counted by value first, so a value that fills a third of the rows is one row per task
     in the shuffle and a column of many values never sits in one buffer.
     """
-    found: dict[str, str | None] = {}
-    for column in columns:
-        counts = df.where(F.col(column).isNotNull()).groupBy(column).count()
-        top = counts.orderBy(F.desc("count"), F.asc(column)).limit(1).first()
-        found[column] = top[column] if top else None
-    return found
+    if not columns:
+        return {}
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    counts = df.select(F.explode(pairs).alias("x")).select("x.*").where("value IS NOT NULL").groupBy("column", "value").count()
+    best = counts.groupBy("column").agg(F.min_by("value", F.struct(-F.col("count"), "value")).alias("value"))
+    top = {r["column"]: r["value"] for r in best.collect()}  # a row per column
+    return {c: top.get(c) for c in columns}
 
 
 def fit_fill_values(df: DataFrame) -> dict[str, object]:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ebbtide.operators.ordering import hash_order
 
 REPEATS = 10
-BLOCK_ROWS = 1_000_000
 
 
 def permutation_importance(
@@ -21,26 +20,35 @@ def permutation_importance(
     key: str = "customer_id",
     repeats: int = REPEATS,
     seed: int = 42,
-    block_rows: int = BLOCK_ROWS,
+    cells: int | None = None,
 ) -> DataFrame:
     """Mean drop of accuracy when one column is shuffled, over several shuffles.
 
     For each repeat the rows are put into md5 order and every row takes the values of the
-    next one, the last those of the first. Large tables are shuffled within random blocks
-    that are drawn anew for each repeat, so a block fits one task however many rows there
-    are. One shuffle of the rows serves all columns of a repeat; `predict` adds a
-    `prediction` column to rows that carry the given columns.
+    next one, the last those of the first. The order is cut into cells (as many as shuffle
+    partitions, if not given), and the last row of a cell takes the first row of the next one
+    from a table of a row per cell: the result is the same for any number of cells. One
+    shuffle of the rows serves all columns of a repeat; `predict` adds a `prediction` column
+    to rows that carry the given columns.
     """
-    blocks = max(1, -(-df.count() // block_rows))
+    cells = cells or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     drawn = df.select(key, label, *columns, F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("repeat"))
     drawn = drawn.withColumn("_hash", hash_order(key, seed, F.col("repeat").cast("string")))
-    block = (F.conv(F.substring("_hash", 1, 8), 16, 10).cast("long") % blocks).cast("int")
-    line = Window.partitionBy("repeat", "_block").orderBy("_hash", key)
+    # the leading digits of the hash ascend with it, and so do the cells
+    cell = F.floor(F.conv(F.substring("_hash", 1, 8), 16, 10).cast("long") * cells / F.lit(1 << 32)).cast("int")
+    drawn = drawn.withColumn("_cell", cell)
     values = F.struct(*columns)
-    partner = F.coalesce(F.lead(values).over(line), F.first(values).over(line))
-    paired = drawn.withColumn("_block", block).withColumn("_partner", partner)
-    # position 0 changes nothing and gives the score to compare with
-    spread = paired.withColumn("_changed", F.explode(F.sequence(F.lit(0), F.lit(len(columns)))))
+    firsts = drawn.groupBy("repeat", "_cell").agg(F.min_by(values, F.struct("_hash", key)).alias("_first"))
+    along = Window.partitionBy("repeat").orderBy("_cell")  # of cells, not of rows
+    ends = firsts.select(
+        "repeat", "_cell", F.coalesce(F.lead("_first").over(along), F.first("_first").over(along)).alias("_next")
+    )
+    line = Window.partitionBy("repeat", "_cell").orderBy("_hash", key)
+    paired = drawn.withColumn("_lead", F.lead(values).over(line)).join(F.broadcast(ends), ["repeat", "_cell"])
+    paired = paired.withColumn("_partner", F.coalesce("_lead", "_next"))
+    # position 0 changes nothing and gives the score to compare with, the same for all repeats
+    first = F.when(F.col("repeat") == 0, 0).otherwise(1)
+    spread = paired.withColumn("_changed", F.explode(F.sequence(first, F.lit(len(columns)))))
     spread = spread.withColumns({
         c: F.when(F.col("_changed") == i, F.col(f"_partner.{c}")).otherwise(F.col(c)) for i, c in enumerate(columns, 1)
     }).select("repeat", "_changed", label, *columns)
@@ -50,7 +58,7 @@ def permutation_importance(
         .agg(F.avg((F.col("prediction") == F.col(label)).cast("int")).alias("accuracy"))
     )
     # one row per (column, repeat) from here on
-    base = F.max(F.when(F.col("_changed") == 0, F.col("accuracy"))).over(Window.partitionBy("repeat"))
+    base = F.max(F.when(F.col("_changed") == 0, F.col("accuracy"))).over(Window.partitionBy(F.lit(1)))
     drops = hits.withColumn("base", base).where("_changed > 0")
     name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("_changed"))
     return drops.groupBy(name.alias("feature")).agg(

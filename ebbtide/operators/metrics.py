@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.operators.ordering import RANGES, cut_into_ranges, running_totals
+from ebbtide.operators.ordering import cut_into_ranges, running_totals
 
 
 def _or_zero(numerator: Column, denominator: Column) -> Column:
@@ -34,7 +34,7 @@ def _class_sums(label: str) -> dict[str, Column]:
     return {"pos": F.count_if(F.col(label) == 1), "neg": F.count_if(F.col(label) == 0)}
 
 
-def roc_auc(scored: DataFrame, label: str = "exited", score: str = "churn_probability", ranges: int = RANGES) -> DataFrame:
+def roc_auc(scored: DataFrame, label: str = "exited", score: str = "churn_probability", ranges: int | None = None) -> DataFrame:
     """Exact area under the ROC curve, ties counted half.
 
     Every positive beats the negatives with a lower score. Within a range of scores that is
@@ -62,13 +62,13 @@ def roc_auc(scored: DataFrame, label: str = "exited", score: str = "churn_probab
     )
 
 
-def roc_curve(scored: DataFrame, label: str = "exited", score: str = "churn_probability", ranges: int = RANGES) -> DataFrame:
+def roc_curve(scored: DataFrame, label: str = "exited", score: str = "churn_probability", ranges: int | None = None) -> DataFrame:
     """(fpr, tpr, threshold) per distinct score, with the (0, 0) point; collinear points stay."""
     narrow = scored.select(F.col(score).cast("double").alias("threshold"), F.col(label).alias("label"))
-    totals = narrow.where("threshold IS NOT NULL").agg(*[c.alias(n) for n, c in _class_sums("label").items()])
-    pos, neg = [totals.select(n).scalar() for n in ("pos", "neg")]
-    curve = running_totals(narrow, "threshold", _class_sums("label"), descending=True, ranges=ranges).select(
-        F.try_divide(F.col("cum_neg"), neg).alias("fpr"), F.try_divide(F.col("cum_pos"), pos).alias("tpr"), "threshold"
+    curve = running_totals(narrow, "threshold", _class_sums("label"), descending=True, ranges=ranges, totals=True).select(
+        F.try_divide(F.col("cum_neg"), F.col("all_neg")).alias("fpr"),
+        F.try_divide(F.col("cum_pos"), F.col("all_pos")).alias("tpr"),
+        "threshold",
     )
     start = scored.sparkSession.createDataFrame([(0.0, 0.0, float("inf"))], "fpr double, tpr double, threshold double")
     return start.unionByName(curve)

@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Distinct values that one window task may sort in the last step of a quantile.
-EXACT_VALUES = 1_000_000
+EXACT_VALUES = 10_000
 ROUGHLY = 0.1  # relative error of a distinct count that only tells sizes apart
-RANGES = 256
+RANGES = 256  # at least; a cluster with more shuffle partitions has as many
 
 
 @dataclass
@@ -93,9 +93,10 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of each series; None for one without values.
 
-    Every pass is one aggregate over the columns concerned. While a series has too many
-    distinct values for one sort, its ranks are bracketed more closely, some hundredfold per
-    pass; what is sorted in the end is bounded by `max_values` per quantile.
+    Every pass is two aggregates over the columns concerned. Ranks are bracketed by
+    approximate percentiles at least once, and again, some hundredfold closer per pass, while
+    a bracket holds more than `max_values` distinct values; what is sorted in the end has that
+    bound per quantile.
     """
     sizes = df.agg(
         *[F.count(c).alias(f"n_{s}") for s, c in series.items()],
@@ -106,7 +107,7 @@ def exact_quantiles(
         n = sizes[f"n_{s}"]
         for low in {int((n - 1) * p) for p in probs} if n else ():
             searches.append(_Search(s, value, low, min(low + 1, n - 1), n, sizes[f"d_{s}"]))
-    wide = [s for s in searches if s.distinct > max_values]
+    wide = searches
     while wide:
         wide = [s for s in _narrow(df, wide) if s.distinct > max_values]
     at = _look_up(df, searches) if searches else {}
@@ -127,11 +128,16 @@ def exact_medians(df: DataFrame, columns: list[str], max_values: int = EXACT_VAL
     return {c: found[c][0] for c in columns}
 
 
-def cut_into_ranges(df: DataFrame, key: str, ranges: int = RANGES) -> DataFrame:
+def default_ranges(df: DataFrame) -> int:
+    return max(RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def cut_into_ranges(df: DataFrame, key: str, ranges: int | None = None) -> DataFrame:
     """Add `range_no`, ascending with the double column `key`, at about even row counts.
 
     The bounds are plain numbers found once, so every task and every retry agrees on them.
     """
+    ranges = ranges or default_ranges(df)
     probs = ", ".join(str(i / ranges) for i in range(1, ranges))
     bounds = df.agg(F.expr(f"percentile_approx(`{key}`, array({probs}), {20 * ranges})").alias("b")).first()["b"] or [0.0]
     splits = [float("-inf"), *sorted({float(b) for b in bounds}), float("inf")]
@@ -140,9 +146,15 @@ def cut_into_ranges(df: DataFrame, key: str, ranges: int = RANGES) -> DataFrame:
 
 
 def running_totals(
-    df: DataFrame, key: str, sums: dict[str, Column], descending: bool = False, ranges: int = RANGES
+    df: DataFrame,
+    key: str,
+    sums: dict[str, Column],
+    descending: bool = False,
+    ranges: int | None = None,
+    totals: bool = False,
 ) -> DataFrame:
-    """Per distinct `key`: the sums of that key, and as `cum_<name>` of all keys up to it.
+    """Per distinct `key`: the sums of that key, and as `cum_<name>` of all keys up to it; with
+    `totals` also, as `all_<name>`, of all keys.
 
     Rows are summed by key before anything is moved. The table of range totals has at most
     `ranges` + 1 rows, which bounds both its window and its broadcast.
@@ -152,11 +164,17 @@ def running_totals(
     direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
     before = Window.orderBy(direction("range_no")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = grouped.groupBy("range_no").agg(*[F.sum(s).alias(s) for s in sums])
-    offsets = offsets.select("range_no", *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"off_{s}") for s in sums])
+    whole = [F.sum(s).over(Window.partitionBy(F.lit(1))).alias(f"all_{s}") for s in sums] if totals else []
+    offsets = offsets.select(
+        "range_no", *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"off_{s}") for s in sums], *whole
+    )
     within = Window.partitionBy("range_no").orderBy(direction(key)).rowsBetween(Window.unboundedPreceding, 0)
     local = grouped.select("*", *[F.sum(s).over(within).alias(f"in_{s}") for s in sums])
     return local.join(F.broadcast(offsets), "range_no").select(
-        key, *sums, *[(F.col(f"off_{s}") + F.col(f"in_{s}")).alias(f"cum_{s}") for s in sums]
+        key,
+        *sums,
+        *[(F.col(f"off_{s}") + F.col(f"in_{s}")).alias(f"cum_{s}") for s in sums],
+        *[f"all_{s}" for s in sums if totals],
     )
 
 

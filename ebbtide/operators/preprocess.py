@@ -35,8 +35,6 @@ BINARY = [
     "is_active_and_young",
 ]
 
-MAX_CATEGORIES = 1000
-
 
 class EngineeredFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Adds the engineered columns."""
@@ -45,27 +43,27 @@ class EngineeredFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritab
         return add_engineered_features(dataset)
 
 
-def value_counts(df: DataFrame, columns: list[str]) -> dict[str, list[tuple[str, int]]]:
-    """Values of low-cardinality columns with their counts, values ascending, one pass."""
+def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """column, value, count of several columns; one pass, summed before it is shuffled."""
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
     )
-    counts = (
-        df.select(F.explode(pairs).alias("x")).select("x.*").where("value IS NOT NULL").groupBy("column", "value").count()
-    )
-    limit = MAX_CATEGORIES * len(columns)
-    rows = counts.limit(limit + 1).collect()
-    found: dict[str, list[tuple[str, int]]] = {c: [] for c in columns}
-    for row in rows:
-        found[row["column"]].append((row["value"], row["count"]))
-    if len(rows) > limit or any(len(v) > MAX_CATEGORIES for v in found.values()):
-        raise ValueError(f"a categorical column has more than {MAX_CATEGORIES} values")
-    return {c: sorted(v) for c, v in found.items()}
+    return df.select(F.explode(pairs).alias("x")).select("x.*").where("value IS NOT NULL").groupBy("column", "value").count()
 
 
-def most_frequent(counts: list[tuple[str, int]]) -> str | None:
-    """The smallest of the most frequent values."""
-    return min(counts, key=lambda vc: (-vc[1], vc[0]))[0] if counts else None
+def modes(counts: DataFrame) -> dict[str, str]:
+    """By column the smallest of the most frequent values; a column without values is missing."""
+    best = counts.groupBy("column").agg(F.min_by("value", F.struct(-F.col("count"), "value")).alias("value"))
+    return {r["column"]: r["value"] for r in best.collect()}  # a row per column
+
+
+def categories(counts: DataFrame, columns: list[str]) -> dict[str, list[str]]:
+    """The values of the columns that are encoded: each becomes a feature of every row, so the list
+    is as long as the model's vectors are."""
+    found: dict[str, list[str]] = {c: [] for c in columns}
+    for row in counts.where(F.col("column").isin(columns)).select("column", "value").collect():
+        found[row["column"]].append(row["value"])
+    return {c: sorted(v) for c, v in found.items()}
 
 
 def imputed_numeric(column: str, median: float | None) -> Column:
@@ -144,11 +142,13 @@ class ChurnPreprocessor(Estimator, _Fitted, DefaultParamsReadable, DefaultParams
     def _fit(self, dataset: DataFrame) -> ChurnPreprocessorModel:
         medians = fit_medians(dataset)
         scales = fit_scales(dataset, medians)
-        counts = value_counts(dataset, CATEGORICAL + BINARY)
+        counts = value_counts(dataset, CATEGORICAL + BINARY).persist()
+        common = modes(counts)
         statistics = {
             "medians": medians,
             "scales": scales,
-            "modes": {c: most_frequent(v) for c, v in counts.items()},
-            "categories": {c: [v for v, _ in counts[c]] for c in CATEGORICAL},
+            "modes": {c: common.get(c) for c in CATEGORICAL + BINARY},
+            "categories": categories(counts, CATEGORICAL),
         }
+        counts.unpersist()
         return ChurnPreprocessorModel(json.dumps(statistics), self.getOrDefault(self.outputCol))

@@ -6,10 +6,11 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.functions import bands, formats
+from ebbtide.schemas import SCORING_COLUMNS
 
 
 def rows() -> Column:
@@ -191,23 +192,17 @@ def dashboard_products(customers: DataFrame) -> DataFrame:
 
 def credit_band_by_exited(customers: DataFrame) -> DataFrame:
     """Retained and churned per credit band; a band without customers shows zeros."""
-    labels = bands.credit_band_labels()
-    bins = customers.sparkSession.createDataFrame(list(enumerate(labels, 1)), "position int, credit_range string")
-    counts = customers.groupBy(bands.credit_band().alias("credit_range")).agg(
-        F.count_if(F.col("exited") == 0).alias("retained"),
-        F.count_if(F.col("exited") != 0).alias("churned"),
-    )
-    aligned = bins.join(counts, "credit_range", "left")
-    return aligned.orderBy("position").select(
-        "credit_range",
-        F.coalesce("retained", F.lit(0)).alias("retained"),
-        F.coalesce("churned", F.lit(0)).alias("churned"),
-    )
+    band, left = bands.credit_band(), F.col("exited") != 0
+    lines = []
+    for label in bands.credit_band_labels():
+        retained, churned_ = F.count_if((band == label) & ~left), F.count_if((band == label) & left)
+        lines.append(F.struct(F.lit(label).alias("credit_range"), retained.alias("retained"), churned_.alias("churned")))
+    return customers.agg(F.array(*lines).alias("lines")).select(F.inline("lines"))
 
 
 def exited_distribution(customers: DataFrame) -> DataFrame:
     counts = customers.groupBy("exited").agg(rows().alias("customers"))
-    total = customers.agg(rows().alias("total")).scalar()
+    total = F.sum("customers").over(Window.partitionBy(F.lit(1)))  # of the two or three counts
     return counts.withColumn("pct", F.round(F.col("customers") * 100.0 / total, 2))
 
 
@@ -288,7 +283,7 @@ def customers_by_geography(customers: DataFrame) -> DataFrame:
 
 # --- prediction log ----------------------------------------------------------------------
 
-HISTORY_COLUMNS = ["credit_score", "geography", "gender", "age", "churn_probability", "risk_level"]
+HISTORY_COLUMNS = [*SCORING_COLUMNS, "churn_probability", "risk_level"]
 
 
 def prediction_history(predictions: DataFrame, timestamp: str = "ts") -> DataFrame:

@@ -107,7 +107,10 @@ oracle(
     "bi_exports",
     " UNION ALL ".join(f"SELECT '{n}' AS report, * FROM ({by(k, 'segment')}) t" for n, k in _SUMMARIES.items()),
 )
-HISTORY = "prediction_id, ts, credit_score, geography, gender, age, churn_probability, risk_level"
+HISTORY = (
+    "prediction_id, ts, credit_score, geography, gender, age, tenure, balance, num_products, has_credit_card, "
+    "is_active_member, estimated_salary, churn_probability, risk_level"
+)
 oracle("prediction_history", f"SELECT {HISTORY} FROM predictions")
 oracle(
     "check_violations",
@@ -325,6 +328,12 @@ oracle(
     f"SELECT c.customer_id, c.credit_score, c.exited FROM customers c JOIN fences f ON f.exited = c.exited WHERE NOT ({_IN})",
     fences=_fences,
 )
+oracle(
+    "products_outliers",
+    f"""SELECT c.customer_id, c.num_products, c.exited FROM customers c JOIN fences f ON f.exited = c.exited
+      WHERE NOT ({_IN.replace("credit_score", "num_products")})""",
+    fences=_fences.replace("credit_score", "num_products"),
+)
 
 
 def density(value: str, digits: int, factor: str) -> None:
@@ -399,6 +408,7 @@ _ranked = """SELECT *, ROW_NUMBER() OVER (PARTITION BY exited ORDER BY MD5('42-'
   COUNT(*) OVER (PARTITION BY exited) AS n FROM customers"""
 _split = f"SELECT *, CASE WHEN r <= ROUND(0.2E0 * n) THEN 'test' ELSE 'train' END AS split, {ENGINEERED} FROM ranked"
 oracle("stratified_split", "SELECT customer_id, split FROM parts", ranked=_ranked, parts=_split)
+oracle("saved_splits", "SELECT customer_id, exited, split FROM parts", ranked=_ranked, parts=_split)
 oracle("cv_folds", "SELECT customer_id, CAST((r - 1) % 5 AS INTEGER) AS fold FROM ranked", ranked=_ranked)
 # the cleaned table has no gaps, so imputing leaves the columns as they are
 oracle(
@@ -525,6 +535,7 @@ _measured = {
     ),
 }
 oracle("measured_rules", "SELECT * FROM measured", **_measured)
+oracle("metrics_table", "SELECT *, 'table' AS place FROM measured UNION ALL SELECT *, 'bi' FROM measured", **_measured)
 oracle("best_model", 'SELECT * FROM measured ORDER BY "ROC-AUC" DESC, "Model" LIMIT 1', **_measured)
 oracle("auc_ranking", 'SELECT "Model", "ROC-AUC" FROM measured', **_measured)
 oracle("precision_vs_recall", 'SELECT "Model", "Precision", "Recall" FROM measured', **_measured)
@@ -539,6 +550,10 @@ oracle(
     """SELECT version, STRFTIME(training_date, '%Y-%m-%d %H:%M:%S') AS training_date, FORMAT('{:,}', dataset_size) AS dataset_size,
       PRINTF('%.4f', ROUND(roc_auc, 4)) AS roc_auc FROM registry WHERE is_active = 1""",
 )
+oracle(
+    "registry_card_without_model",
+    "SELECT 'v1' AS version, 'N/A' AS training_date, '10,000' AS dataset_size, '0.8818' AS roc_auc",
+)
 oracle(
     "registry_update",
     f"""SELECT * REPLACE (0 AS is_active) FROM registry UNION ALL

@@ -62,5 +62,10 @@ def replace_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def save_splits(split: DataFrame, path: str) -> None:
+    """Rows with their `split`, in a folder per part, so a reader of one part reads no other."""
+    split.write.mode("overwrite").partitionBy("split").parquet(path)
+
+
 def append_table(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)

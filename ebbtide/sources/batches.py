@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,6 +83,18 @@ def plain_path(uri: Column) -> Column:
     return F.regexp_replace(decoded, "^file:/+", "file:/")
 
 
+def _headers(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]:
+    """Column names of every file, from the first line of each, by one job for all of them."""
+    lines = spark.read.text(paths).select(
+        plain_path(F.col("_metadata.file_path")).alias("path"), "value", F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("id"),
+    )
+    # one line per file and task is shuffled
+    first = lines.where("start = 0").groupBy("path").agg(F.min_by("value", "id").alias("line"))
+    found = {r["path"]: r["line"] for r in first.collect()}  # a line per file of the batch
+    return {path: tuple(next(csv.reader([found[path]]), ())) for path in paths if path in found}
+
+
 def read_files(spark: SparkSession, paths: list[str]) -> tuple[DataFrame | None, dict[str, str]]:
     """Parsed rows of the files that pass the schema gate, and why others do not.
 
@@ -88,8 +102,9 @@ def read_files(spark: SparkSession, paths: list[str]) -> tuple[DataFrame | None,
     """
     by_header: dict[tuple[str, ...], list[str]] = {}
     refused: dict[str, str] = {}
+    headers = _headers(spark, paths)
     for path in paths:
-        header = tuple(spark.read.option("header", True).csv(path).columns)  # reads one line
+        header = headers.get(path, ())
         try:
             map_header(list(header))
             by_header.setdefault(header, []).append(path)
@@ -98,8 +113,8 @@ def read_files(spark: SparkSession, paths: list[str]) -> tuple[DataFrame | None,
     parts = []
     for header, same in by_header.items():
         schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-        read = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(same)
-        # unsplit lines would be needed for numbering; block start and row id order any split
+        read = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("multiLine", True).csv(same)
+        # quoted values may hold line breaks, so a file is read by one task; row ids order its rows
         placed = read.select(
             "*",
             plain_path(F.col("_metadata.file_path")).alias("file_name"),

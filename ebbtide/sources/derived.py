@@ -77,7 +77,8 @@ SELECT *, pm / 10.0E0 AS churn_probability, CASE WHEN pm >= 500 THEN 1 ELSE 0 EN
 
 PREDICTIONS_SQL = """
 SELECT e.event_id AS prediction_id, e.ts AS ts, s.customer_id, s.credit_score, s.geography, s.gender, s.age,
-  s.churn_probability,
+  s.tenure, s.balance, s.num_products,
+  s.has_credit_card, s.is_active_member, s.estimated_salary, s.churn_probability,
   CASE WHEN s.churn_probability < 30.0 THEN 'Low' WHEN s.churn_probability <= 60.0 THEN 'Medium' ELSE 'High' END AS risk_level
 FROM events e JOIN scored s ON s.customer_id = 15600000 + e.user_id
 """

@@ -10,13 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbtide.operators.ingest import DONE, MISSING_COLUMNS, REJECT_FILE, ingest_batch
 from ebbtide.schemas import CUSTOMER_COLUMNS, CUSTOMERS
+from ebbtide.session import path_exists
 from ebbtide.sources.batches import find_files, read_files
 
 BATCH = "ingest_batch"
@@ -43,10 +43,9 @@ BINARY_FILE = T.StructType([
 
 def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     with_batch = T.StructType([*schema.fields, T.StructField(BATCH, T.StringType())])
-    try:
-        return spark.read.schema(with_batch).parquet(path)
-    except AnalysisException:
+    if not path_exists(spark, path):  # a table that is there but cannot be read raises
         return spark.createDataFrame([], with_batch)
+    return spark.read.schema(with_batch).parquet(path)
 
 
 def create_table(customers: DataFrame, table: str) -> None:

@@ -7,18 +7,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.plans.scoring import as_log, score_customers
+from ebbtide.schemas import SCORING_COLUMNS
 from ebbtide.sources.batches import parse_scoring_json
 
 
 def read_requests(spark: SparkSession, folder: str, max_files: int = 1000) -> DataFrame:
     """JSON requests, one per line, from files as they arrive."""
     lines = spark.readStream.format("text").option("maxFilesPerTrigger", max_files).load(folder)
-    return parse_scoring_json(lines).where("valid").drop("valid")
+    return parse_scoring_json(lines.withColumn("request", F.col("value")))
+
+
+def _accepted(requests: DataFrame) -> DataFrame:
+    return requests.where("valid").drop("valid", "request")
+
+
+def _refused(requests: DataFrame) -> DataFrame:
+    """Requests that cannot be scored, as they came, and what they lack."""
+    missing = [F.when(F.col(c).isNull(), F.lit(c)) for c in SCORING_COLUMNS]
+    reason = F.concat(F.lit("no usable value: "), F.concat_ws(", ", *missing))
+    return requests.where("NOT valid").select("request", reason.alias("reason"), F.current_timestamp().alias("refused_at"))
+
+
+def stream_refused(requests: DataFrame, rejects: str, checkpoint: str):
+    """Append the requests that cannot be scored to a table of their own."""
+    return (
+        _refused(requests).writeStream.format("parquet")
+        .option("path", rejects)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 def stream_scores(requests: DataFrame, model: PipelineModel, log: str, checkpoint: str):
     """Append scored requests to the log; the sink's own commit log makes it exactly once."""
-    scored = as_log(score_customers(requests, model)).withColumn("day", F.to_date("timestamp"))
+    scored = as_log(score_customers(_accepted(requests), model)).withColumn("day", F.to_date("timestamp"))
     return (
         scored.writeStream.format("parquet")
         .partitionBy("day")

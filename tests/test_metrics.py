@@ -54,13 +54,16 @@ def test_curve_ends_and_rises(spark):
 def test_importance_of_used_and_unused_columns(spark):
     rows = [(i, int(i % 2), i % 2, i % 5) for i in range(400)]
     df = spark.createDataFrame(rows, "customer_id long, exited int, used int, unused int")
-    for block_rows in (1_000_000, 50):
+    results = []
+    for cells in (1, 7, 500):
         found = permutation_importance(
-            df, ["used", "unused"], lambda d: d.withColumn("prediction", F.col("used")), repeats=4, block_rows=block_rows
+            df, ["used", "unused"], lambda d: d.withColumn("prediction", F.col("used")), repeats=4, cells=cells
         )
         got = {r["feature"]: r["importance_mean"] for r in found.collect()}
         assert got["unused"] == 0.0 and 0.35 < got["used"] < 0.65
         assert top_features(found, 1).first()["feature"] == "used"
+        results.append(sorted(map(tuple, found.collect())))
+    assert results[0] == results[1] == results[2]
 
 
 def test_a_permutation_keeps_the_values(spark):
@@ -72,7 +75,7 @@ def test_a_permutation_keeps_the_values(spark):
         seen["rows"] = d
         return d.withColumn("prediction", F.lit(1))
 
-    permutation_importance(df, ["v"], predict, repeats=2, block_rows=100).collect()
+    permutation_importance(df, ["v"], predict, repeats=2, cells=3).collect()
     for repeat in (0, 1):
         values = [r["v"] for r in seen["rows"].where(f"repeat = {repeat} AND _changed = 1").collect()]
         assert sorted(values) == [float(i) for i in range(300)]

@@ -155,7 +155,7 @@ def test_folds_with_their_own_preprocessing(spark, customers, frame):
 
 
 def test_importance_of_a_model(customers, frame, scorer):
-    rows = models.importance(frame, scorer.stages[-1], customers, repeats=3).collect()
+    rows = models.importance(frame, scorer.stages[-1], repeats=3).collect()
     assert len(rows) == 16
     names = [r["feature"] for r in sorted(rows, key=lambda r: -r["importance_mean"])]
     assert "age" in names[:6]

@@ -61,7 +61,7 @@ def test_join_checked_broadcasts_only_what_fits(spark):
     small = spark.range(10).withColumnRenamed("id", "k").persist()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        few, many = join_checked(big, small, ["k"], "inner", 10), join_checked(big, small, ["k"], "inner", 9)
+        few, many = join_checked(big, small, ["k"], "inner", 10 * 24), join_checked(big, small, ["k"], "inner", 9 * 24)
         assert "BroadcastHashJoin" in plan_of(few)
         assert "BroadcastHashJoin" not in plan_of(many)
         assert few.count() == many.count() == 10
