@@ -113,12 +113,30 @@ def prefix_length(size: int, percent: int) -> int:
     return size - -(-size * percent // 100) + 1
 
 
-def bitmap(numbers: np.ndarray) -> bytes:
-    bits = np.zeros(BITS, dtype=bool)
-    bits[(numbers >> np.uint64(20)).astype(np.int64) & (BITS - 1)] = True
+def bitmap(numbers: np.ndarray, size: int = BITS) -> bytes:
+    """A power of two of bits; the lower half and the upper half of a longer one make the shorter."""
+    bits = np.zeros(size, dtype=bool)
+    bits[(numbers >> np.uint64(20)).astype(np.int64) & (size - 1)] = True
     return np.packbits(bits, bitorder="little").tobytes()
 
 
+def wide_bitmap(numbers: np.ndarray) -> bytes:
+    """Two bits or more for every shingle, so that long documents are told apart, too."""
+    return bitmap(numbers, max(BITS, 1 << int(2 * len(numbers) - 1).bit_length()))
+
+
+def wide_maps_allow(x: bytes, y: bytes, size_x: int, size_y: int, percent: int) -> bool:
+    a, b = (np.frombuffer(m, dtype=np.uint64) for m in (x, y))
+    while len(a) != len(b):
+        if len(a) < len(b):
+            b = b[: len(b) // 2] | b[len(b) // 2 :]
+        else:
+            a = a[: len(a) // 2] | a[len(a) // 2 :]
+    common, own_a, own_b = (int(np.bitwise_count(m).sum()) for m in (a & b, a, b))
+    most = min(size_x, size_y, common + min(size_x - own_a, size_y - own_b))
+    return most * (100 + percent) >= percent * (size_x + size_y)
+
+
 def frequent_shingles(df: DataFrame, text: str, shingle: int, sample: int = ORDER_SAMPLE) -> np.ndarray:
     """Shingles of at least FREQUENT_FROM documents of a sample by a hash of the text, sorted."""
     total = df.count()
@@ -165,7 +183,7 @@ def _ordered(numbers: np.ndarray, frequent: np.ndarray) -> np.ndarray:
 
 
 def _sets(df: DataFrame, key: str, text: str, wanted: DataFrame, shingle: int, frequent: np.ndarray) -> DataFrame:
-    """root (the first shingle), doc, n, map and the sorted set of the wanted documents (a stored column doc)."""
+    """root (the first shingle), doc, n, map, sorted set and wide map of the wanted documents (a stored column doc)."""
     slim = df.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,11 +191,11 @@ def _sets(df: DataFrame, key: str, text: str, wanted: DataFrame, shingle: int, f
             docs, rows = batch.column(0).to_pylist(), []
             for doc, numbers in zip(docs, shingle_sets(words_of(*text_bytes(batch.column(1))), shingle), strict=True):
                 if len(numbers):
-                    rows.append((int(_ordered(numbers, frequent)[0].view(np.int64)), doc, len(numbers), bitmap(numbers), numbers.tobytes()))
+                    rows.append((int(_ordered(numbers, frequent)[0].view(np.int64)), doc, len(numbers), bitmap(numbers), numbers.tobytes(), wide_bitmap(numbers)))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(ROW_TYPES)], names=LINK_NAMES[2:])
+                yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate([*ROW_TYPES, pa.binary()])], names=[*LINK_NAMES[2:], "wide"])
 
-    return only_keys(slim, wanted, "doc").mapInArrow(run, "root long, doc long, n long, map binary, shingles binary")
+    return only_keys(slim, wanted, "doc").mapInArrow(run, "root long, doc long, n long, map binary, shingles binary, wide binary")
 
 
 def _runs(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[tuple[int, list[tuple], bool]]:
@@ -244,7 +262,7 @@ def _by_first_shingle(df: DataFrame, key: str, text: str, classes: DataFrame, sh
     spark = df.sparkSession
     roots = classes.select(F.col("prefix")[0].alias("root"), "doc")
     wanted = stored(roots.join(_several(roots, "doc"), "root", "left_semi").select("doc"), "rooted")
-    rows = _sets(df, key, text, wanted, shingle, frequent)
+    rows = _sets(df, key, text, wanted, shingle, frequent).drop("wide")
     found, left = None, None
     while True:
         order = rows.repartitionByRange(shuffle_partitions(spark), "root", "n", "doc").sortWithinPartitions("root", "n", "doc")
@@ -499,17 +517,30 @@ def _across_blocks(blocks: DataFrame, percent: int) -> DataFrame:
 def _checked(df: DataFrame, key: str, text: str, found: DataFrame, shingle: int, percent: int, frequent: np.ndarray) -> DataFrame:
     """The pairs of documents a, b that are similar, by their sets."""
     wanted = stored(found.select(F.explode(F.array("a", "b")).alias("doc")).distinct(), "candidate-documents")
-    sets = stored(_sets(df, key, text, wanted, shingle, frequent).select("doc", "shingles").dropDuplicates(["doc"]), "candidate-sets")
-    both = found.join(sets.select(F.col("doc").alias("a"), F.col("shingles").alias("left")), "a").join(sets.select(F.col("doc").alias("b"), F.col("shingles").alias("right")), "b")
+    sets = stored(_sets(df, key, text, wanted, shingle, frequent).select("doc", "n", "shingles", "wide").dropDuplicates(["doc"]), "candidate-sets")
 
-    def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = batch.column("left"), batch.column("right")
-            keep = [similar(np.frombuffer(left[i].as_py(), np.uint64), np.frombuffer(right[i].as_py(), np.uint64), percent) for i in range(batch.num_rows)]
-            kept = batch.filter(pa.array(keep, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], names=["a", "b"])
+    def keep_if(test):
+        def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                kept = batch.filter(pa.array([test(*(batch.column(c)[i].as_py() for c in range(2, batch.num_columns))) for i in range(batch.num_rows)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(kept.columns[:2], names=["a", "b"])
+
+        return check
+
+    def with_both(pairs: DataFrame, *columns: str) -> DataFrame:
+        for side in "ab":
+            pairs = pairs.join(sets.select(F.col("doc").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns]), side)
+        return pairs.select("a", "b", *[f"{side}_{c}" for c in columns for side in "ab"])
+
+    def maps_allow(x: bytes, y: bytes, size_x: int, size_y: int) -> bool:
+        return wide_maps_allow(x, y, size_x, size_y, percent)
+
+    def sets_similar(x: bytes, y: bytes) -> bool:
+        return similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
 
-    return stored(both.mapInArrow(check, "a long, b long"), "more-links")
+    # signatures with bits enough for long documents first: they are a sixteenth of the sets or less
+    near = stored(with_both(found, "wide", "n").mapInArrow(keep_if(maps_allow), "a long, b long"), "near-pairs")
+    return stored(with_both(near, "shingles").mapInArrow(keep_if(sets_similar), "a long, b long"), "more-links")
 
 
 def near_documents(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
