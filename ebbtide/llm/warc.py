@@ -16,12 +16,16 @@ import zlib
 from collections.abc import Iterable, Iterator
 from uuid import UUID
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ebbtide.llm.common import shuffle_partitions
+
 SHARD_BYTES = 16 << 20  # payload bytes of a shard
 ROLL_BYTES = 8 << 20  # compressed bytes after which a file ends
 REVISIT_FROM = 100  # shorter payloads are always written out
@@ -185,11 +189,16 @@ def write_warc(
     links = first_pages(pages, revisit_from)
     rows = links.select("key", F.lit(0).alias("kind"), "digest", "refers_to", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"))
     rows = rows.unionByName(pages.select("key", F.lit(1).alias("kind"), F.lit(None).cast("string").alias("digest"), F.lit(None).cast("long").alias("refers_to"), "url", "payload"))
-    shard = F.lit(0)
-    if bounds:
-        shard = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.coalesce(F.col("key"), F.lit(0))))
-    count = len(bounds) + 1
-    dealt = rows.withColumn("shard", shard.cast("int")).repartitionById(count, F.col("shard"))
+    firsts, count = np.array(bounds, dtype=np.int64), len(bounds) + 1
+
+    @F.pandas_udf("int")
+    def shard_of(keys: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(firsts, keys.to_numpy(), side="right").astype(np.int32))
+
+    # a task writes one shard or a run of them, one after the other
+    tasks = min(count, 16 * shuffle_partitions(spark))
+    dealt = rows.withColumn("shard", shard_of(F.coalesce("key", F.lit(0))))
+    dealt = dealt.repartitionById(tasks, F.floor(F.col("shard").cast("long") * tasks / count).cast("int"))
     ordered = dealt.sortWithinPartitions("shard", F.coalesce("key", F.lit(0)), F.col("key").isNotNull(), "kind", "payload")
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

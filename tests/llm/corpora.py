@@ -1,13 +1,11 @@
+"""Documents with all that is odd, as fixtures that the test modules import."""
+
 from __future__ import annotations
 
 import random
-import sys
-from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
-
 #: A column whose name an operator may use itself.
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string, key string, doc string, root string"
 

@@ -11,6 +11,7 @@ import public_tokenizers
 import tokenizers
 from pyspark.sql import functions as F
 
+from corpora import no_docs, odd_docs, odd_texts  # noqa: F401
 from ebbtide.llm import kd_sharding, packing, url_filter, warc
 
 PAGES = "page_id long, url string, html string, key string, shard string"

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 import brute
-from conftest import prose, variant
+from corpora import no_docs, odd_docs, odd_texts, prose, variant  # noqa: F401
 from ebbtide.llm import grid_order_join, signature_tree
 from ebbtide.llm.components import components
 

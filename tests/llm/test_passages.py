@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import brute
-from conftest import prose, variant
+from corpora import no_docs, odd_docs, odd_texts, prose, variant  # noqa: F401
 from ebbtide.llm import collinear_chains as C
 from ebbtide.llm import decontamination as D
 from ebbtide.llm.common import normalized

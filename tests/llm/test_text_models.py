@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF
+from corpora import no_docs, odd_docs, odd_texts  # noqa: F401
 from ebbtide.llm import language_id as L
 from ebbtide.llm import toxicity as X
 from ebbtide.llm.common import table
