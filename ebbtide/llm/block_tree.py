@@ -31,12 +31,15 @@ def block_pairs(blocks: DataFrame, merges: dict[str, Callable], may_join: Callab
     node's column.
     """
     ends = blocks.agg(F.max("part").alias("part"), F.max("seq").alias("seq")).first()
+    if ends["seq"] is None:
+        names = "root {}, a_part int, a_seq long, b_part int, b_seq long".format(blocks.schema["root"].dataType.simpleString())
+        return blocks.sparkSession.createDataFrame([], names)
     span = FAN
-    while ends["seq"] is not None and span <= ends["seq"]:
+    while span <= ends["seq"]:
         span *= FAN
     columns: Sequence[str] = list(merges)
     level = stored(blocks.select("root", block_number(span).alias("node"), *columns), "nodes")
-    levels, last = [level], ((ends["part"] or 0) + 1) * span
+    levels, last = [level], (ends["part"] + 1) * span
     while last > 1:
         level = stored(_level(level, merges), "nodes")
         levels.append(level)

@@ -70,20 +70,27 @@ def _few(keys: DataFrame, most_bytes: int, row_bytes: int = 16) -> bool:
     return keys.count() * row_bytes <= most_bytes
 
 
+def in_order(df: DataFrame, rows: int, each: int, *columns: str) -> DataFrame:
+    """df sorted by the columns over all its partitions, about `each` of its rows (so many in all) or
+    more in one: ranges are dealt as the session says, and neighbours share a task where they are small."""
+    ranges = df.repartitionByRange(shuffle_partitions(df.sparkSession), *columns).sortWithinPartitions(*columns)
+    return ranges.coalesce(max(1, -(-rows // each)))
+
+
 def only_keys(df: DataFrame, keys: DataFrame, key: str, most_bytes: int = 32 << 20) -> DataFrame:
     """Rows of df whose key is among the keys (one column of whole numbers, stored before).
 
     The keys are counted where they lie; up to most_bytes of them are broadcast, more are joined by
     shuffling both sides.
     """
-    slim = keys.select(key).distinct()
-    return df.join(F.broadcast(slim) if _few(keys, most_bytes) else slim.hint("shuffle_merge"), key, "left_semi")
+    slim = keys.select(key)
+    return df.join(F.broadcast(slim) if _few(keys, most_bytes) else slim.distinct().hint("shuffle_merge"), key, "left_semi")
 
 
 def without_keys(df: DataFrame, keys: DataFrame, key: str, most_bytes: int = 32 << 20) -> DataFrame:
     """The other rows, by the same rules; rows without a key stay."""
-    slim = keys.select(key).distinct()
-    return df.join(F.broadcast(slim) if _few(keys, most_bytes) else slim.hint("shuffle_merge"), key, "left_anti")
+    slim = keys.select(key)
+    return df.join(F.broadcast(slim) if _few(keys, most_bytes) else slim.distinct().hint("shuffle_merge"), key, "left_anti")
 
 
 def beside(df: DataFrame, rows: DataFrame, condition: Column, row_bytes: int, most_bytes: int = 32 << 20) -> DataFrame:

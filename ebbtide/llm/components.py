@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 from ebbtide.llm.common import discard, stored
 
 
+TASK_LINKS = 500_000  # links of a task are joined at once
+
+
 class Union:
     """Groups of whole numbers; each is named by its smallest member."""
 
@@ -67,8 +70,10 @@ def components(links: DataFrame) -> DataFrame:
     """
     a, b = links.columns
     pairs = links.select(F.greatest(a, b).cast("long").alias("a"), F.least(a, b).cast("long").alias("b"))
-    pairs = stored(pairs.where("a > b AND a IS NOT NULL AND b IS NOT NULL").mapInArrow(_local_stars, "a long, b long"), "links")
-    while _mixed(pairs):
+    pairs = stored(pairs.where("a > b AND a IS NOT NULL AND b IS NOT NULL"), "links")
+    tasks = -(-pairs.count() // TASK_LINKS)
+    pairs = stored(pairs.coalesce(max(1, tasks)).mapInArrow(_local_stars, "a long, b long"), "links")
+    while tasks > 1 and _mixed(pairs):
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").distinct()

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm.block_tree import block_pairs, with_payloads
-from ebbtide.llm.common import shuffle_partitions, stored
+from ebbtide.llm.common import in_order, stored
 from ebbtide.llm.components import components
 
 LEAST_COSINE = 0.98
@@ -173,7 +173,6 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     share a key are one node of the components. An empty table gives no rows; other columns are not
     read.
     """
-    spark = df.sparkSession
     slim = df.select(F.col(key).cast("long").alias("id"), F.col(label).cast("string").alias("label"), F.col(vector).alias("vector"))
     rows = stored(slim.mapInArrow(_keyed, "id long, label string, key binary, data binary"), "vectors")
     usable = rows.where("id IS NOT NULL AND label IS NOT NULL AND key IS NOT NULL")
@@ -181,7 +180,7 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     classes = stored(classes, "vector-classes")
     eps = float(np.sqrt(2 - 2 * least_cosine))
     placed = _coordinates(classes, _principal(classes), eps)
-    order = placed.repartitionByRange(shuffle_partitions(spark), "root", "cell", "id").sortWithinPartitions("root", "cell", "id")
+    order = in_order(placed, classes.count(), 4 * BLOCK_ROWS, "root", "cell", "id")
     blocks = stored(order.mapInArrow(_cut, BLOCK), "vector-blocks")
 
     def may_join(left, right):

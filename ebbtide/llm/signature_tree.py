@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm.block_tree import block_pairs, with_payloads
-from ebbtide.llm.common import beside, only_keys, shuffle_partitions, slices, stored, without_keys
+from ebbtide.llm.common import beside, in_order, only_keys, shuffle_partitions, slices, stored, without_keys
 from ebbtide.llm.components import Union, components
 from ebbtide.llm.words import shingle_sets, text_bytes, words_of
 
@@ -44,6 +44,9 @@ BLOCK = 256
 ORDER_SAMPLE = 20_000  # documents looked at for frequent shingles
 FREQUENT_FROM = 4  # documents of the sample
 
+SET_ROWS = 5_000  # rows with sets that a task may hold the blocks of
+MAP_ROWS = 20_000  # rows with bitmaps
+
 WORDS = BITS // 64
 
 
@@ -262,15 +265,16 @@ def _by_first_shingle(df: DataFrame, key: str, text: str, classes: DataFrame, sh
     spark = df.sparkSession
     roots = classes.select(F.col("prefix")[0].alias("root"), "doc")
     wanted = stored(roots.join(_several(roots, "doc"), "root", "left_semi").select("doc"), "rooted")
-    rows = _sets(df, key, text, wanted, shingle, frequent).drop("wide")
+    rows, count = _sets(df, key, text, wanted, shingle, frequent).drop("wide"), wanted.count()
     found, left = None, None
     while True:
-        order = rows.repartitionByRange(shuffle_partitions(spark), "root", "n", "doc").sortWithinPartitions("root", "n", "doc")
+        order = in_order(rows, count, SET_ROWS, "root", "n", "doc")
         out = stored(order.mapInArrow(_first_links(percent), LINK), "first-links")
         links = out.where("a IS NOT NULL").select("a", "b")
         found = links if found is None else found.unionByName(links)
         rest = out.where("root IS NOT NULL").select("root", "doc", "n", "map", "shingles")
         rest = rest.join(_several(rest, "doc"), "root", "left_semi")
+        rest = stored(rest, "first-left")
         count = rest.count()
         # groups that do not shrink are left to the second step
         if count == 0 or (left is not None and 2 * count > left):
@@ -478,7 +482,7 @@ def _by_all_prefixes(
         shared = stored(apart.join(_several(apart, "component"), "root", "left_semi"), "shared")
         maps = only_keys(classes.select("doc", "map"), shared.select("doc"), "doc")
         rows = shared.join(maps, "doc").select("root", "doc", "mark", "map", "component")
-        order = rows.repartitionByRange(count, "root", "mark", "doc").sortWithinPartitions("root", "mark", "doc")
+        order = in_order(rows, shared.count(), MAP_ROWS, "root", "mark", "doc")
         met = stored(order.mapInArrow(_trees(percent, nearest), f"a long, b long, {BLOCK_SCHEMA}"), "met")
         found = met.where("a IS NOT NULL").select("a", "b")
         if nearest:
