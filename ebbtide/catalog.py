@@ -480,22 +480,81 @@ def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
     return models.compare_models(frame(spark, sf))[0]
 
 
-def _logistic_scorer(spark: SparkSession, sf: str) -> PipelineModel:
-    f = frame(spark, sf)
-    model = models.fit_candidate(f, models.CANDIDATES[models.LOGISTIC])
-    return PipelineModel(stages=[*f.preprocessor.stages, model])
+@cache
+def _retrained(application: str, sf: str) -> tuple[str, retraining.Outcome]:
+    spark = SparkSession.active()
+    folder = scratch(spark, sf, f"retrain-{datetime.now():%Y%m%d%H%M%S%f}")
+    outcome = retraining.retrain(
+        derived.table(spark, sf, "customers"),
+        f"{folder}/registry",
+        f"{folder}/models",
+        names=[models.LOGISTIC, models.FOREST],
+        grids={models.FOREST: {"trees": [100], "max_depth": [8, 12]}},
+        events_path=f"{folder}/events",
+        metrics_path=f"{folder}/model_metrics",
+    )
+    return folder, outcome
+
+
+def retrained(spark: SparkSession, sf: str) -> str:
+    """A folder with registry, models, events and metrics of one retraining per application."""
+    return _retrained(spark.sparkContext.applicationId, sf)[0]
+
+
+@query
+def retrain(spark: SparkSession, sf: str) -> DataFrame:
+    """Events of a retraining over two candidates, from the table it appended them to."""
+    return spark.read.schema(retraining.EVENTS).parquet(f"{retrained(spark, sf)}/events")
+
+
+@query
+def retrain_events(spark: SparkSession, sf: str) -> DataFrame:
+    """How often each event was stored, and the rows the training says it loaded."""
+    events = retrain(spark, sf)
+    loaded = F.when(F.col("event") == "loaded", F.regexp_extract("detail", r"^(\d+) rows", 1).cast("long"))
+    return events.groupBy("event").agg(F.count("*").alias("n"), F.max(loaded).cast("double").alias("dataset_size"))
+
+
+def _active_scorer(spark: SparkSession, sf: str) -> PipelineModel:
+    """The active model of the registry that the retraining wrote."""
+    return scoring.load_active_model(spark, f"{retrained(spark, sf)}/registry")
 
 
 @query
 def score_customers(spark: SparkSession, sf: str) -> DataFrame:
     customers = derived.table(spark, sf, "customers")
-    scored = scoring.score_customers(customers, _logistic_scorer(spark, sf))
+    scored = scoring.score_customers(customers, _active_scorer(spark, sf))
     return scored.select("customer_id", "churn_probability", "risk_level", "color_class")
 
 
+@query
+def scored_customers_hold(spark: SparkSession, sf: str) -> DataFrame:
+    """What must be true of every score: a percentage, its band, and the band's badge."""
+    p = F.col("churn_probability")
+    band = F.when(p < 30, "Low").when(p <= 60, "Medium").otherwise("High")
+    scored = score_customers(spark, sf)
+    return scored.select("customer_id", p.between(0, 100).alias("is_percent"), (F.col("risk_level") == band).alias("is_band"))
+
+
+@query
+def logged_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of the active model, appended to the log and read back with all its columns."""
+    folder = scratch(spark, sf, f"log-{datetime.now():%Y%m%d%H%M%S%f}")
+    customers = derived.table(spark, sf, "customers")
+    scoring.append_predictions(scoring.score_customers(customers, _active_scorer(spark, sf)), folder)
+    # the log has whole credit scores, which engines round differently
+    inputs = [c for c in CUSTOMER_COLUMNS if c not in ("customer_id", "exited", "credit_score")]
+    return spark.read.parquet(folder).groupBy(*inputs).agg(F.count("*").alias("n"))
+
+
 @query
 def model_drift(spark: SparkSession, sf: str) -> DataFrame:
-    return scoring.drift_of_model(derived.table(spark, sf, "customers"), _logistic_scorer(spark, sf))
+    return scoring.drift_of_model(derived.table(spark, sf, "customers"), _active_scorer(spark, sf))
+
+
+@query
+def model_drift_basis(spark: SparkSession, sf: str) -> DataFrame:
+    return model_drift(spark, sf).select("recent_rows", F.round("baseline_rate", 6).alias("baseline_rate"))
 
 
 @query
@@ -508,17 +567,3 @@ def permutation_importance_model(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def grid_search(spark: SparkSession, sf: str) -> DataFrame:
     return models.grid_search(frame(spark, sf), models.CANDIDATES[models.LOGISTIC]).results
-
-
-@query
-def retrain(spark: SparkSession, sf: str) -> DataFrame:
-    """Events of a retraining over two candidates into a registry of its own."""
-    folder = scratch(spark, sf, f"retrain-{datetime.now():%Y%m%d%H%M%S%f}")
-    outcome = retraining.retrain(
-        derived.table(spark, sf, "customers"),
-        f"{folder}/registry",
-        f"{folder}/models",
-        names=[models.LOGISTIC, models.FOREST],
-        grids={models.FOREST: {"trees": [100], "max_depth": [8, 12]}},
-    )
-    return outcome.events

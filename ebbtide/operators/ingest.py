@@ -48,9 +48,9 @@ def new_records(
     The big table is reduced to the few keys the batch asks about, by a broadcast of those
     keys as long as they fit, so its key column is read once and not shuffled.
     """
-    asked = batch.select(key).distinct().persist()
+    asked = batch.select(key).distinct()
     if kept is not None:
-        kept.append(asked)
+        kept.append(asked.persist())
     known = join_checked(existing.select(key), asked, [key], "left_semi")
     return batch.join(known, key, "left_anti")
 
@@ -62,47 +62,27 @@ def _in(files: set[str]) -> Column:
 def _settle_clashes(valid: DataFrame, files: list[str]) -> tuple[set[str], set[str]]:
     """Accepted and rejected files when a shared id lets only the first accepted file through.
 
-    Whether a file clashes depends on the fate of earlier files that share an id with it.
-    Each round settles all files whose earlier sharers are settled; the first open file
-    always is, and unrelated files never wait for each other.
+    One job finds which files share an id with which earlier ones: a row per pair of files of the
+    run, however many ids they share. In the order of their names a file is then accepted if no
+    earlier accepted file shares an id with it.
     """
-    sharing = (
+    shared = (
         valid.groupBy("customer_id")
         .agg(F.array_sort(F.collect_set("file_name")).alias("files"))  # a set of files, not of rows
         .where(F.size("files") > 1)
         .select("files")
         .distinct()
-        .persist()
     )
+    placed = shared.select("files", F.posexplode("files").alias("place", "file_name")).where("place > 0")
+    earlier = F.explode(F.slice("files", 1, F.col("place"))).alias("earlier")
+    sharers: dict[str, set[str]] = {}
+    for row in placed.select("file_name", earlier).distinct().collect():
+        sharers.setdefault(row["file_name"], set()).add(row["earlier"])
     accepted: set[str] = set()
-    rejected: set[str] = set()
-    open_files = set(files)
-    while open_files:
-
-        def is_in(names: set[str], c: Column) -> Column:
-            return c.isin(sorted(names)) if names else F.lit(False)
-
-        live = F.filter("files", lambda f: ~is_in(rejected, f))
-        pairs = sharing.select(live.alias("files")).select("files", F.posexplode("files").alias("place", "file_name"))
-        earlier_accepted = F.exists(
-            F.filter("files", lambda f: f < F.col("file_name")), lambda f: is_in(accepted, f)
-        )
-        verdicts = (
-            pairs.where(_in(open_files))
-            .groupBy("file_name")
-            .agg(F.bool_or(earlier_accepted).alias("clashes"), F.bool_or(F.col("place") > 0).alias("contested"))
-            .where("clashes OR contested")
-            .collect()  # one row per file at most
-        )
-        held = {v["file_name"]: v["clashes"] for v in verdicts}
-        for name in sorted(open_files):
-            if name not in held:
-                accepted.add(name)
-            elif held[name]:
-                rejected.add(name)
-        open_files -= accepted | rejected
-    sharing.unpersist()
-    return accepted, rejected
+    for name in sorted(files):
+        if accepted.isdisjoint(sharers.get(name, ())):
+            accepted.add(name)
+    return accepted, set(files) - accepted
 
 
 def ingest_batch(rows: DataFrame, existing: DataFrame, mode: str = REJECT_FILE) -> IngestResult:

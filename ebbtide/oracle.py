@@ -604,3 +604,15 @@ oracle(
       FROM (SELECT DISTINCT file_name, customer_id FROM batch_rows) b
       LEFT JOIN flagged f ON f.file_name = b.file_name AND f.customer_id = b.customer_id GROUP BY b.file_name""",
 )
+
+# --- models: what SQL can know of them
+
+oracle(
+    "retrain_events",
+    """SELECT * FROM (VALUES ('started', 1), ('loaded', 1), ('candidate', 2), ('best candidate', 1), ('tuned', 1), ('updated', 1)) e(event, n)
+      LEFT JOIN (SELECT 'loaded' AS event, CAST(COUNT(*) AS DOUBLE) AS dataset_size FROM customers) s USING (event)""",
+)
+oracle("scored_customers_hold", "SELECT customer_id, TRUE AS is_percent, TRUE AS is_band FROM customers")
+_INPUTS = "geography, gender, age, tenure, balance, num_products, has_credit_card, is_active_member, estimated_salary"
+oracle("logged_predictions", f"SELECT {_INPUTS}, COUNT(*) AS n FROM customers GROUP BY {_INPUTS}")
+oracle("model_drift_basis", "SELECT LEAST(COUNT(*), 100) AS recent_rows, ROUND(AVG(exited), 6) AS baseline_rate FROM customers")

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from ebbtide.operators import reports
 
 
-def report_frames(customers: DataFrame) -> dict[str, DataFrame]:
-    """The seven reports, rolled up from one pass over the customers."""
-    cube = reports.segment_cube(customers).persist()
+def report_frames(cube: DataFrame) -> dict[str, DataFrame]:
+    """The seven reports, rolled up from the segment cube."""
     return {
         "geography_churn": reports.CHURN_BY_GEOGRAPHY.of_cube(cube),
         "age_churn": reports.CHURN_BY_AGE_GROUP.of_cube(cube),
@@ -21,8 +23,7 @@ def report_frames(customers: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def summary_frames(customers: DataFrame) -> dict[str, DataFrame]:
-    cube = reports.segment_cube(customers).persist()
+def summary_frames(cube: DataFrame) -> dict[str, DataFrame]:
     return {
         "geography_summary": reports.GEOGRAPHY_SUMMARY.of_cube(cube),
         "age_summary": reports.AGE_SUMMARY.of_cube(cube),
@@ -36,21 +37,31 @@ def write_csv(df: DataFrame, path: str, single: bool = False) -> None:
     (df.coalesce(1) if single else df).write.mode("overwrite").option("header", True).csv(path)
 
 
+def _write_side_by_side(frames: dict[str, DataFrame], folder: str) -> None:
+    """One small file each; the jobs are short, so several run at a time."""
+    spark = next(iter(frames.values())).sparkSession
+    write = inheritable_thread_target(spark)(lambda named: write_csv(named[1], f"{folder}/{named[0]}", single=True))
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(write, frames.items()))
+
+
 def export_reports(customers: DataFrame, folder: str) -> list[str]:
-    frames = report_frames(customers)
-    for name, df in frames.items():
-        write_csv(df, f"{folder}/{name}", single=True)
+    cube = reports.segment_cube(customers).persist()
+    frames = report_frames(cube)
+    _write_side_by_side(frames, folder)
+    cube.unpersist()
     return list(frames)
 
 
 def export_bi(customers: DataFrame, folder: str, metrics: DataFrame | None = None) -> list[str]:
     """Master table in as many files as it has parts, summaries in one each, metrics if measured."""
     write_csv(customers, f"{folder}/churn_master")
-    frames = summary_frames(customers)
+    cube = reports.segment_cube(customers).persist()
+    frames = summary_frames(cube)
     if metrics is not None:
         frames["model_metrics"] = metrics
-    for name, df in frames.items():
-        write_csv(df, f"{folder}/{name}", single=True)
+    _write_side_by_side(frames, folder)
+    cube.unpersist()
     return ["churn_master", *frames]
 
 

@@ -13,8 +13,6 @@ from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.param import Param
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -139,9 +137,12 @@ class TrainingFrame:
     n_train: int
     n_total: int
     partitions: int
+    raw_train: DataFrame | None = None  # training customers with their fold, for folds with own preprocessing
 
     def release(self) -> None:
         self.rows.unpersist()
+        if self.raw_train is not None:
+            self.raw_train.unpersist()
 
     @property
     def encoder(self) -> ChurnPreprocessorModel:
@@ -184,7 +185,8 @@ def training_frame(customers: DataFrame, folds: int | None = None, partitions: i
     # every iteration of a fit ships its lineage to the tasks; a checkpoint keeps it short
     ensure_checkpoint_dir(customers.sparkSession)
     rows = _placed(rows, partitions).checkpoint().persist()
-    return TrainingFrame(preprocessor, rows, counts.get("train", 0), n_total, partitions)
+    raw = with_folds(split.where("split = 'train'").drop("split"), LABEL, folds=folds).persist() if folds else None
+    return TrainingFrame(preprocessor, rows, counts.get("train", 0), n_total, partitions, raw)
 
 
 def weighted(rows: DataFrame, positive_weight: float) -> DataFrame:
@@ -258,13 +260,14 @@ class Tuned:
     model: Model
 
 
-def _as_param_map(base: Estimator, variant: Estimator) -> dict[Param, Any]:
-    """What is set on one estimator, as a parameter map for another of the same build."""
-    if isinstance(base, Pipeline):
-        pairs = zip(base.getStages(), variant.getStages())
-    else:
-        pairs = [(base, variant)]
-    return {b.getParam(p.name): value for b, v in pairs for p, value in v.extractParamMap().items() if v.isSet(p)}
+def _fold_rows(frame: TrainingFrame, fold: int, prefit: bool) -> DataFrame:
+    """Training rows as one fold sees them: unless prefit, encoded by what the other folds know."""
+    if prefit:
+        return frame.train
+    raw = frame.raw_train
+    fitted = Pipeline(stages=[EngineeredFeatures(), ChurnPreprocessor()]).fit(raw.where(F.col("fold") != fold))
+    rows = fitted.transform(raw).select("customer_id", F.col(LABEL).cast("double").alias(LABEL), "features", "fold")
+    return _placed(rows, frame.partitions).persist()
 
 
 def grid_search(
@@ -273,41 +276,43 @@ def grid_search(
     grid: dict[str, list] | None = None,
     weights: tuple[float, ...] | None = None,
     folds: int = FOLDS,
-    parallelism: int = 4,
-    raw_train: DataFrame | None = None,
+    parallelism: int | None = None,
+    prefit: bool = False,
 ) -> Tuned:
     """Cross-validated search by ROC-AUC over stratified folds, then a fit on all training rows.
 
-    The folds share the frame's preprocessing, fitted on the whole training part, unless
-    `raw_train` gives the training customers with their fold: each fold then fits its own.
-    A class weight is a column, so each weight is one CrossValidator run.
+    Each fold is preprocessed by what its training rows alone tell; with `prefit` all share the
+    frame's preprocessing, fitted on the whole training part. As many fits run side by side as the
+    session's cores have room for, a core per partition.
     """
     grid = candidate.grid if grid is None else grid
     weights = candidate.weights if weights is None else weights
-    settings = [dict(zip(grid, values)) for values in product(*grid.values())]
-    n_fit = frame.n_train * (folds - 1) // folds
-    base = candidate.build(n_fit, **candidate.defaults)
-    maps = [_as_param_map(base, candidate.build(n_fit, **{**candidate.defaults, **s})) for s in settings]
-    rows, estimator = frame.train, base
-    if raw_train is not None:
-        rows, estimator = raw_train, Pipeline(stages=[EngineeredFeatures(), ChurnPreprocessor(), base])
+    settings = [{**dict(zip(grid, values)), "positive_weight": w} for w in weights for values in product(*grid.values())]
+    spark = frame.rows.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    parallelism = parallelism or max(2, cores // frame.partitions)
     evaluator = BinaryClassificationEvaluator(
         labelCol=LABEL, rawPredictionCol="probability", metricName="areaUnderROC", numBins=0
     )
-    results = []
-    for weight in weights:
-        validator = CrossValidator(
-            estimator=estimator,
-            estimatorParamMaps=maps,
-            evaluator=evaluator,
-            numFolds=folds,
-            foldCol="fold",
-            parallelism=parallelism,
-        )
-        means = validator.fit(weighted(rows, weight)).avgMetrics
-        results += [({**s, "positive_weight": weight}, mean) for s, mean in zip(settings, means)]
+    n_fit = frame.n_train * (folds - 1) // folds
+    aucs: dict[int, list[float]] = {i: [] for i in range(len(settings))}
+    with ThreadPoolExecutor(parallelism) as pool:
+        for fold in range(folds):
+            rows = _fold_rows(frame, fold, prefit)
+
+            def auc(setting: dict[str, Any], rows: DataFrame = rows, fold: int = fold) -> float:
+                weight = setting["positive_weight"]
+                chosen = {**candidate.defaults, **{k: v for k, v in setting.items() if k != "positive_weight"}}
+                model = candidate.build(n_fit, **chosen).fit(weighted(rows.where(F.col("fold") != fold), weight))
+                return evaluator.evaluate(model.transform(rows.where(F.col("fold") == fold)))
+
+            for i, value in enumerate(pool.map(inheritable_thread_target(spark)(auc), settings)):
+                aucs[i].append(value)
+            if not prefit:
+                rows.unpersist()
+    results = [(s, sum(aucs[i]) / folds) for i, s in enumerate(settings)]
     parameters, cv_auc = max(results, key=lambda r: r[1])  # the first of equals
-    table = frame.rows.sparkSession.createDataFrame(
+    table = spark.createDataFrame(
         [(str(p), float(mean)) for p, mean in results], "parameters string, cv_auc double"
     )
     return Tuned(parameters, float(cv_auc), table, fit_candidate(frame, candidate, **parameters))

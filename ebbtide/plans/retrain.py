@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ebbtide.operators.splits import FOLDS
 from ebbtide.plans import models, registry
+from ebbtide.plans.exports import append_table, replace_table
 
 # Fixed value: fewer rows are not worth a model.
 MIN_TRAINING_ROWS = 100
@@ -42,8 +43,14 @@ def retrain(
     weights: dict[str, tuple[float, ...]] | None = None,
     folds: int = FOLDS,
     now: datetime | None = None,
+    events_path: str | None = None,
+    metrics_path: str | None = None,
 ) -> Outcome:
-    """`grids` and `weights` replace the values tried for a candidate, `overrides` its defaults."""
+    """`grids` and `weights` replace the values tried for a candidate, `overrides` its defaults.
+
+    With `events_path` the events are appended to that table, with `metrics_path` the measured
+    metrics replace that one.
+    """
     spark = customers.sparkSession
     log: list[tuple[datetime, str, str]] = []
 
@@ -51,7 +58,12 @@ def retrain(
         log.append((now or datetime.now(), event, detail))
 
     def done(updated: bool, message: str, metrics: DataFrame | None = None) -> Outcome:
-        return Outcome(updated, message, spark.createDataFrame(log, EVENTS), metrics)
+        events = spark.createDataFrame(log, EVENTS)
+        if events_path:
+            append_table(events.coalesce(1), events_path)
+        if metrics_path and metrics is not None:
+            replace_table(metrics.coalesce(1), metrics_path)
+        return Outcome(updated, message, events, metrics)
 
     note("started")
     if customers.count() < MIN_TRAINING_ROWS:
@@ -76,6 +88,7 @@ def retrain(
     note("tuned", f"test {auc:.4f}, cross-validated {tuned.cv_auc:.4f}, {tuned.parameters}")
 
     # every row is measured; the tuned model replaces its untuned row
+    frame.release()
     kept = [r for r in metrics.collect() if r["Model"] != best]
     metrics = spark.createDataFrame([*kept, measured], metrics.schema)
 

@@ -128,10 +128,20 @@ def open_files(spark: SparkSession, folder: str, log: str) -> list[str]:
     return [path for path in found if path not in done]
 
 
-def ingest_folder(spark: SparkSession, folder: str, table: str, log: str, batch: str, **options) -> DataFrame | None:
-    """One batch run over all open files of the folder; None if there are none."""
-    paths = open_files(spark, folder, log)
-    return ingest_files(spark, paths, table, log, batch, **options) if paths else None
+def ingest_folder(
+    spark: SparkSession, folder: str, table: str, log: str, batch: str, max_files: int = 1000, **options
+) -> DataFrame | None:
+    """A run over all open files of the folder, max_files at a time; None if there are none.
+
+    What the driver and the plans hold follows max_files, not the folder. Each part is a batch of its
+    own: it finds the rows of earlier parts in the table.
+    """
+    paths, logged = open_files(spark, folder, log), None
+    for first in range(0, len(paths), max_files):
+        name = batch if len(paths) <= max_files else f"{batch}-{first // max_files:06d}"
+        part = ingest_files(spark, paths[first : first + max_files], table, log, name, **options)
+        logged = part if logged is None else logged.unionByName(part)
+    return logged
 
 
 def stream_folder(

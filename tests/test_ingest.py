@@ -216,3 +216,32 @@ def test_known_ids_are_found_without_shuffling_the_table(spark):
     fresh = ingest.new_records(batch, table)
     assert [r["customer_id"] for r in fresh.collect()] == [5000]
     assert "BroadcastHashJoin" in plan_of(fresh)
+
+
+def test_headers_of_many_files_take_one_job(spark, place):
+    folder, _, _ = place
+    for i in range(200):
+        write(folder, f"{i:03d}.csv", line(1000 + i), header=HEADER.upper() if i % 2 else HEADER)
+    paths = batches.find_files(spark, str(folder))
+    spark.sparkContext.setJobGroup("headers", "headers")
+    found = batches._headers(spark, paths)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("headers")
+    spark.sparkContext._jsc.clearJobGroup()
+    assert len(found) == 200 and len(set(found.values())) == 2 and len(jobs) <= 3
+
+
+def test_a_folder_in_parts(spark, place):
+    folder, table, log = place
+    for i in range(5):
+        write(folder, f"{i}.csv", line(100 + i))
+    ingest_stream.ingest_folder(spark, str(folder), table, log, "run", max_files=2)
+    assert ids(spark, table) == [7, 100, 101, 102, 103, 104]
+    assert set(statuses(spark, log).values()) == {"ingested"} and len(statuses(spark, log)) == 5
+
+
+def test_quoted_line_breaks_stay_in_their_row(spark, place):
+    folder, _, _ = place
+    header = HEADER + ",Remark"
+    write(folder, "a.csv", line(1) + ',"two\nlines"', line(2) + ",one", header=header)
+    rows, refused = batches.read_files(spark, batches.find_files(spark, str(folder)))
+    assert not refused and sorted(r["customer_id"] for r in rows.collect()) == [1, 2]

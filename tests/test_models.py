@@ -138,20 +138,31 @@ def test_candidates_and_grid(frame):
     assert set(tuned.parameters) == {"trees", "max_depth", "positive_weight"}
 
 
-def test_svm_grid_parameters_reach_the_stages(frame):
-    base, other = models.rbf_svm(100), models.rbf_svm(100, C=10.0, gamma="auto")
-    copied = base.copy(models._as_param_map(base, other))
-    kernel, svc, _ = copied.getStages()
+def test_svm_grid_parameters_reach_the_stages():
+    kernel, svc, _ = models.rbf_svm(100, C=10.0, gamma="auto").getStages()
     assert kernel.getOrDefault(kernel.gamma) == "auto" and svc.getRegParam() == 1 / 1000
 
 
-def test_folds_with_their_own_preprocessing(spark, customers, frame):
-    train = splits.with_folds(splits.stratified_split(customers).where("split = 'train'"), folds=3)
-    tuned = models.grid_search(
-        frame, models.CANDIDATES[models.LOGISTIC], {"C": [0.1, 1.0]}, folds=3,
-        raw_train=train.withColumn("exited", F.col("exited").cast("double")),
+def test_folds_with_their_own_preprocessing(frame):
+    own, shared = (
+        models.grid_search(frame, models.CANDIDATES[models.LOGISTIC], {"C": [0.1, 1.0]}, prefit=p) for p in (False, True)
     )
-    assert tuned.results.count() == 2 and tuned.cv_auc > 0.7
+    assert own.results.count() == shared.results.count() == 2 and own.cv_auc > 0.7
+    assert own.cv_auc == pytest.approx(shared.cv_auc, abs=0.02)
+
+
+def test_training_rows_do_not_follow_the_session(spark, customers):
+    """The same rows in the same partitions and order, however they were read."""
+    placed = [models._placed(customers.repartition(n).select("customer_id"), 3) for n in (1, 7)]
+    parts = [[(r["p"], r["customer_id"]) for r in df.select(F.spark_partition_id().alias("p"), "customer_id").collect()] for df in placed]
+    assert parts[0] == parts[1] and {p for p, _ in parts[0]} == {0, 1, 2}
+
+
+def test_a_category_of_many_values_fits(spark):
+    df = spark.range(5000).select(F.format_string("place %05d", "id").alias("geography"), (F.col("id") % 2).alias("flag"))
+    counts = preprocess.value_counts(df.unionByName(df.limit(7)), ["geography", "flag"])
+    assert len(preprocess.categories(counts, ["geography"])["geography"]) == 5000
+    assert preprocess.modes(counts)["geography"] == "place 00000"
 
 
 def test_importance_of_a_model(customers, frame, scorer):
@@ -178,12 +189,39 @@ def test_registry_rules(spark, tmp_path):
     assert registry.active_card(now).first()["roc_auc"] == "0.7500"
 
 
+def test_a_registry_that_cannot_be_read_is_not_empty(spark, tmp_path):
+    path = tmp_path / "registry"
+    assert registry.read_registry(spark, str(path)).count() == 0
+    assert registry.register(spark, str(path), 0.8, 10, "m", "p", "v1")
+    broken = next(path.glob("snapshot=00000001/*.parquet"))
+    broken.write_bytes(b"no parquet")
+    with pytest.raises(Exception):
+        registry.register(spark, str(path), 0.9, 10, "m", "p", "v2")
+    assert [p.name for p in path.glob("snapshot=*")] == ["snapshot=00000001"]
+
+
+def test_two_writers_do_not_share_a_snapshot(spark, tmp_path):
+    path = str(tmp_path / "registry")
+    assert registry._claim(spark, path, 1) and not registry._claim(spark, path, 1)
+    assert registry.register(spark, path, 0.8, 10, "m", "p", "v1")
+    assert [p.name for p in (tmp_path / "registry").glob("snapshot=*")] == ["snapshot=00000002"]
+    assert registry.read_registry(spark, path).count() == 1
+
+
+def test_the_card_without_a_model(spark):
+    assert tuple(registry.active_card(spark.createDataFrame([], MODEL_REGISTRY)).first()) == ("v1", "N/A", "10,000", "0.8818")
+
+
 def test_retrain_accepts_then_rejects(spark, customers, tmp_path):
     small = {"names": [models.LOGISTIC], "grids": {models.LOGISTIC: {"C": [0.1, 1.0]}}, "folds": 3}
     where = (str(tmp_path / "registry"), str(tmp_path / "models"))
-    first = retrain.retrain(customers, *where, **small)
+    kept = {"events_path": str(tmp_path / "events"), "metrics_path": str(tmp_path / "metrics")}
+    first = retrain.retrain(customers, *where, **small, **kept)
     assert first.updated and first.message.startswith("Updated to v1")
-    second = retrain.retrain(customers, *where, **small)
+    second = retrain.retrain(customers, *where, **small, **kept)
+    events = spark.read.parquet(kept["events_path"])
+    assert events.where("event = 'started'").count() == 2 and events.where("event = 'rejected'").count() == 1
+    assert spark.read.parquet(kept["metrics_path"]).count() == 1
     assert not second.updated and second.message.startswith("Retained v1")
     assert "rejected" in [r["event"] for r in second.events.collect()]
     forced = retrain.retrain(customers, *where, mode=registry.FORCE, **small)
@@ -220,3 +258,16 @@ def test_requests_are_scored_on_a_stream(spark, scorer, tmp_path):
     run()
     logged = spark.read.parquet(log)
     assert logged.count() == 4 and logged.where("risk_level = 'High'").count() == 2
+
+
+def test_refused_requests_keep_their_reason(spark, tmp_path):
+    folder, rejects = tmp_path / "requests", str(tmp_path / "rejects")
+    folder.mkdir()
+    people = spark.createDataFrame(PERSONAS, SCORING_COLUMNS)
+    good = [r[0] for r in people.select(F.to_json(F.struct("*"))).collect()]
+    (folder / "1.json").write_text("\n".join([*good, '{"age": "x", "tenure": 3}', "no json"]) + "\n")
+    requests = scoring_stream.read_requests(spark, str(folder))
+    assert scoring_stream.stream_refused(requests, rejects, str(tmp_path / "checkpoint")).awaitTermination(120)
+    rows = {r["request"]: r["reason"] for r in spark.read.parquet(rejects).collect()}
+    assert set(rows) == {'{"age": "x", "tenure": 3}', "no json"}
+    assert "age" in rows['{"age": "x", "tenure": 3}'] and "tenure" not in rows['{"age": "x", "tenure": 3}']
