@@ -398,7 +398,7 @@ def _met_batch(x: np.ndarray, y: np.ndarray, nearest: bool) -> pa.RecordBatch:
 def _trees(percent: int, nearest: bool):
     """Rows root, doc, mark, map, component in order: pairs that may be similar and have different
     components, and blocks with their summaries of roots that have several blocks. With nearest, each
-    document is paired with one smaller one at most, within its block."""
+    document is paired with one smaller one of its block at most."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
@@ -426,6 +426,7 @@ def _trees(percent: int, nearest: bool):
                 apart = parts[i] != parts[j]
                 if apart.any():
                     yield _met_batch(docs[i[apart]], docs[j[apart]], nearest)
+            if not more:
                 continue
             coarse = np.bitwise_or.reduce(maps.reshape(len(rows), -1, COARSE), axis=1)
             slack = int((sizes - np.bitwise_count(coarse).sum(axis=1)).max())
@@ -445,8 +446,9 @@ BLOCK_TYPES = [pa.int64(), pa.int32(), pa.int64(), *[pa.binary()] * 4, *[pa.int6
 BLOCK_SCHEMA = "root long, part int, seq long, docs binary, sizes binary, parts binary, maps binary, " + ", ".join(f"{c} long" for c in SUMMARY)
 
 
-def _candidates(percent: int):
-    """Pairs of documents of different components that the signatures of two blocks allow."""
+def _candidates(percent: int, nearest: bool):
+    """Pairs of documents of different components that the signatures of two blocks allow. With nearest,
+    one pair for each component of the second of two different blocks."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -456,6 +458,11 @@ def _candidates(percent: int):
                 trees = [Tree.over(np.frombuffer(row[f"{s}_maps"], dtype=np.uint64).reshape(-1, WORDS), sides[s][1]) for s in "ab"]
                 i, j = meet(trees[0], trees[0] if same else trees[1], same, percent)
                 apart = sides["a"][2][i] != sides["b"][2][j]
+                if nearest:
+                    if same:
+                        continue
+                    first = np.unique(sides["b"][2][j[apart]], return_index=True)[1]
+                    i, j, apart = i[apart][first], j[apart][first], slice(None)
                 a, b = sides["a"][0][i[apart]], sides["b"][0][j[apart]]
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
@@ -475,20 +482,18 @@ def _by_all_prefixes(
     order = rooted.repartitionByRange(count, "root", "doc").sortWithinPartitions("root", "doc")
     shared = stored(order.mapInArrow(_meeting(percent), "root long, doc long, shift long, mark long"), "shared").drop("shift")
     links = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    # a round over one pair per document joins what is left of large groups, so that the last one, over
-    # all pairs, meets few that are connected anyway
-    for nearest in (True, False):
+    # two rounds over one pair per document or component join what is left of large groups, so that the
+    # last one, over all pairs, meets few that are connected anyway
+    for nearest in (True, True, False):
         apart = _with_components(shared, parts)
         shared = stored(apart.join(_several(apart, "component"), "root", "left_semi"), "shared")
-        maps = only_keys(classes.select("doc", "map"), shared.select("doc"), "doc")
+        maps = only_keys(classes.select("doc", "map"), stored(shared.select("doc").distinct(), "shared-documents"), "doc")
         rows = shared.join(maps, "doc").select("root", "doc", "mark", "map", "component")
         order = in_order(rows, shared.count(), MAP_ROWS, "root", "mark", "doc")
         met = stored(order.mapInArrow(_trees(percent, nearest), f"a long, b long, {BLOCK_SCHEMA}"), "met")
-        found = met.where("a IS NOT NULL").select("a", "b")
-        if nearest:
-            found = found.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        else:
-            found = found.unionByName(_across_blocks(met.where("root IS NOT NULL").drop("a", "b"), percent)).distinct()
+        across = _across_blocks(met.where("root IS NOT NULL").drop("a", "b"), percent, nearest)
+        found = met.where("a IS NOT NULL").select("a", "b").unionByName(across)
+        found = found.groupBy("b").agg(F.min("a").alias("a")).select("a", "b") if nearest else found.distinct()
         links = links.unionByName(_checked(df, key, text, stored(found, "candidates"), shingle, percent, frequent))
         parts = stored(components(links), "parts")
         links = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
@@ -501,7 +506,7 @@ def _with_components(rows: DataFrame, parts: DataFrame) -> DataFrame:
     return wide.select(*[rows[c] for c in rows.columns], F.coalesce(parts["component"], rows["doc"]).alias("component"))
 
 
-def _across_blocks(blocks: DataFrame, percent: int) -> DataFrame:
+def _across_blocks(blocks: DataFrame, percent: int, nearest: bool) -> DataFrame:
     """Pairs of roots with several blocks, from the blocks whose summaries allow one."""
 
     def may_join(left, right):
@@ -515,7 +520,7 @@ def _across_blocks(blocks: DataFrame, percent: int) -> DataFrame:
 
     merges = {"lo_n": F.min, "hi_n": F.max, "slack": F.max, "lo_part": F.min, "hi_part": F.max} | {f"w{i}": F.bit_or for i in range(COARSE)}
     pairs = with_payloads(block_pairs(blocks, merges, may_join), blocks, ["docs", "sizes", "parts", "maps"])
-    return pairs.mapInArrow(_candidates(percent), "a long, b long")
+    return pairs.mapInArrow(_candidates(percent, nearest), "a long, b long")
 
 
 def _checked(df: DataFrame, key: str, text: str, found: DataFrame, shingle: int, percent: int, frequent: np.ndarray) -> DataFrame:
