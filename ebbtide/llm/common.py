@@ -72,9 +72,9 @@ def _few(keys: DataFrame, most_bytes: int, row_bytes: int = 16) -> bool:
 
 def in_order(df: DataFrame, rows: int, each: int, *columns: str) -> DataFrame:
     """df sorted by the columns over all its partitions, about `each` of its rows (so many in all) or
-    more in one: ranges are dealt as the session says, and neighbours share a task where they are small."""
-    ranges = df.repartitionByRange(shuffle_partitions(df.sparkSession), *columns).sortWithinPartitions(*columns)
-    return ranges.coalesce(max(1, -(-rows // each)))
+    more in one. Every task has one range of the order: its rows go on in the tasks beside it only."""
+    count = max(1, min(shuffle_partitions(df.sparkSession), -(-rows // each)))
+    return df.repartitionByRange(count, *columns).sortWithinPartitions(*columns)
 
 
 def only_keys(df: DataFrame, keys: DataFrame, key: str, most_bytes: int = 32 << 20) -> DataFrame:

@@ -6,10 +6,12 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from corpora import no_docs, odd_docs, odd_texts, prose, variant  # noqa: F401
 from ebbtide.llm import grid_order_join, signature_tree
+from ebbtide.llm.common import in_order
 from ebbtide.llm.components import components
 
 
@@ -49,6 +51,23 @@ def test_large_groups_over_several_blocks(spark, monkeypatch, block):
     assert {i: c for (i, _), c in of(signature_tree.near_documents(df)).items()} == brute.near(texts)
 
 
+@pytest.fixture
+def many_ranges(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "48")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_a_task_has_one_range_of_the_order(spark, many_ranges):
+    rows = spark.range(48_000).selectExpr("id % 997 AS root", "id AS doc").repartition(6)
+    order = in_order(rows, 48_000, 8_000, "root", "doc")
+    ends = order.groupBy(F.spark_partition_id().alias("task")).agg(F.min(F.struct("root", "doc")).alias("lo"), F.max(F.struct("root", "doc")).alias("hi"))
+    ends = sorted((tuple(r["lo"]), tuple(r["hi"])) for r in ends.collect())
+    assert 1 < len(ends) <= 6
+    assert all(hi < lo for (_, hi), (lo, _) in zip(ends, ends[1:]))
+
+
 def test_traversal_keeps_every_similar_pair():
     draw = np.random.default_rng(5)
     sets = [np.unique(draw.integers(0, 2**63, 60).astype(np.uint64)) for _ in range(30)]
