@@ -44,6 +44,26 @@ def test_a_passage_of_many_documents(spark, monkeypatch):
     assert len(rows) < 400
 
 
+def test_a_passage_whose_parts_stand_in_other_documents(spark):
+    """The first and the nearest document with each seed have 40 words of 80; one between has all."""
+    w = prose(70, 80).split()
+    parts = [w[:40], w[40:], w, w[:40], w[40:], w]
+    texts = {i: f"{prose(5000 + i, 30)} {' '.join(p)} {prose(6000 + i, 30)}" for i, p in enumerate(parts, 1)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = covered(C.shared_passages(df).collect())
+    want = brute.repeated_words(texts, C.LEAST_WORDS)
+    assert set(want) == {6} and want[6] >= set(range(30, 110))
+    assert want[6] <= got[6] and set(got) == {6}
+
+
+def test_runs_of_one_word_are_repeats(spark):
+    texts = {1: "la " * 300, 2: prose(71, 20) + " la" * 150, 3: "la " * 60 + prose(72, 60) + " la" * 200, 4: prose(73, 10) + " la" * 130 + " " + prose(72, 55)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(2)
+    got = covered(C.shared_passages(df).collect())
+    for doc, places in brute.repeated_words(texts, C.LEAST_WORDS).items():
+        assert places <= got.get(doc, set()), doc
+
+
 def test_nothing_to_share(no_docs):
     assert C.shared_passages(no_docs).count() == 0
     assert C.cut_passages(no_docs, C.shared_passages(no_docs)).count() == 0
