@@ -488,8 +488,6 @@ def _retrained(application: str, sf: str) -> tuple[str, retraining.Outcome]:
         derived.table(spark, sf, "customers"),
         f"{folder}/registry",
         f"{folder}/models",
-        names=[models.LOGISTIC, models.FOREST],
-        grids={models.FOREST: {"trees": [100], "max_depth": [8, 12]}},
         events_path=f"{folder}/events",
         metrics_path=f"{folder}/model_metrics",
     )
@@ -503,7 +501,7 @@ def retrained(spark: SparkSession, sf: str) -> str:
 
 @query
 def retrain(spark: SparkSession, sf: str) -> DataFrame:
-    """Events of a retraining over two candidates, from the table it appended them to."""
+    """Events of a retraining over all candidates, from the table it appended them to."""
     return spark.read.schema(retraining.EVENTS).parquet(f"{retrained(spark, sf)}/events")
 
 
@@ -560,10 +558,20 @@ def model_drift_basis(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def permutation_importance_model(spark: SparkSession, sf: str) -> DataFrame:
     f = frame(spark, sf)
-    model = models.fit_candidate(f, models.CANDIDATES[models.LOGISTIC])
+    metrics, fitted = models.compare_models(f)
+    model = fitted[models.best_model(metrics).first()["Model"]]
     return importance.top_features(models.importance(f, model))
 
 
-@query
-def grid_search(spark: SparkSession, sf: str) -> DataFrame:
-    return models.grid_search(frame(spark, sf), models.CANDIDATES[models.LOGISTIC]).results
+def _grid_search_query(name: str) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        return models.grid_search(frame(spark, sf), models.CANDIDATES[name]).results
+
+    return run
+
+
+QUERIES["grid_search"] = _grid_search_query(models.LOGISTIC)
+QUERIES["grid_search_rf"] = _grid_search_query(models.FOREST)
+QUERIES["grid_search_svm"] = _grid_search_query(models.SVM)
+QUERIES["grid_search_gbt"] = _grid_search_query(models.BOOSTED)
+QUERIES["grid_search_gbt_plain"] = _grid_search_query(models.BOOSTED_PLAIN)
