@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import collinear_chains, decontamination, grid_order_join, kd_sharding, language_id, packing, signature_tree, toxicity, url_filter, warc
+from ebbtide.llm import collinear_chains, decontamination, grid_order_join, kd_sharding, language_id, packing, quality_cascade, signature_tree, toxicity, url_filter, warc
 from ebbtide.llm.common import fresh_dir, table
 
 QUERIES = {}
@@ -157,3 +157,40 @@ SELECT page_id, host, path, rule,
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"))
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+# --- 11 --------------------------------------------------------------------------------
+
+
+@query
+def op11_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    judged = quality_cascade.judge_quality(table(spark, sf_dir, "documents"), report=base)
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return judged.select("doc_id", *base, failed.alias("base_failed"), "kept")
+
+
+ORACLES["op11_quality_cascade"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, COALESCE(text, '') AS t,
+    regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(COALESCE(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+places AS (SELECT r, unnest(generate_series(1, len(w) - 7)) AS i FROM d WHERE len(w) >= 8),
+windows AS (SELECT p.r, p.i, array_to_string(d.w[p.i:p.i + 7], ' ') AS win FROM places p JOIN d USING (r)),
+twice AS (SELECT r, i FROM (SELECT r, i, COUNT(*) OVER (PARTITION BY r, win) AS n FROM windows) WHERE n > 1),
+inside AS (SELECT DISTINCT r, i + k AS word FROM twice, (SELECT unnest(generate_series(0, 7)) AS k)),
+repeated AS (SELECT r, COUNT(*) AS n FROM inside GROUP BY r),
+m AS (
+  SELECT doc_id, len(w) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols, length(t) - length(replace(t, '!', '')) AS marks,
+    len(lines) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(COALESCE(n, 0) AS BIGINT) AS n_repeat_words,
+    len(list_filter(w, lambda x: NOT regexp_matches(x, '[A-Za-z\x{80}-\x{10FFFF}]'))) AS letterless
+  FROM d LEFT JOIN repeated USING (r)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 10 * n_symbols > n_words OR 10 * marks > 3 * n_words OR 2 * n_dup_lines > n_lines
+    OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 5 * letterless > 2 * n_words) AS kept
+FROM b
+"""
