@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import collinear_chains, decontamination, grid_order_join, kd_sharding, language_id, packing, quality_cascade, signature_tree, toxicity, url_filter, warc
+from ebbtide.llm import collinear_chains, decontamination, grid_order_join, kd_sharding, language_id, packing, quality_cascade, signature_tree, token_alignment, toxicity, url_filter, warc
 from ebbtide.llm.common import fresh_dir, table
 
 QUERIES = {}
@@ -194,3 +194,12 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 5 * letterless > 2 * n_words) AS kept
 FROM b
 """
+
+
+# --- 12 --------------------------------------------------------------------------------
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = token_alignment.score_alignment(table(spark, sf_dir, "documents"), groups=token_alignment.DIGEST)
+    return scored.withColumnRenamed("groups", "groups_sha256")
