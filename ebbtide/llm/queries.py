@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import collinear_chains, decontamination, grid_order_join, kd_sharding, language_id, packing, quality_cascade, signature_tree, token_alignment, toxicity, url_filter, warc
+from ebbtide.llm import collinear_chains, decontamination, grid_order_join, kd_sharding, language_id, packing, periodic_runs, quality_cascade, signature_tree, token_alignment, toxicity, url_filter, warc
 from ebbtide.llm.common import fresh_dir, table
 
 QUERIES = {}
@@ -203,3 +205,39 @@ FROM b
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = token_alignment.score_alignment(table(spark, sf_dir, "documents"), groups=token_alignment.DIGEST)
     return scored.withColumnRenamed("groups", "groups_sha256")
+
+
+# --- 13 --------------------------------------------------------------------------------
+
+
+def with_planted_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of a tenth of the documents, by their number, go over into a period."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    g, n = h // 10, len(words)
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), rewrite=with_planted_period)
+    by_exponent = F.array_sort("runs", lambda x, y: F.coalesce(
+        F.nullif(F.signum(y["length"] * x["period"] - x["length"] * y["period"]), F.lit(0.0)),
+        F.nullif(F.signum(x["start"] - y["start"]), F.lit(0.0)),
+        F.signum(x["period"] - y["period"]),
+    ).cast("int"))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    top = F.col("top")
+    return found.withColumn("top", F.get(by_exponent, F.lit(0))).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        top["start"].alias("start"),
+        top["length"].alias("length"),
+        top["period"].alias("period"),
+        F.expr("1000 * top.length DIV top.period").alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
