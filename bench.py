@@ -68,17 +68,12 @@ def main() -> None:
     rows = frame(spark, SF_DIR)
     for name, candidate in FITS.items():
         timed(name, lambda: models.measure(candidate, models.score(models.fit_candidate(rows, models.CANDIDATES[candidate]), rows.test)).collect())
-    timed("grid_search_lr", lambda: models.grid_search(rows, models.CANDIDATES[models.LOGISTIC]))
+    for name, candidate in FITS.items():
+        timed(name.replace("fit", "grid_search"), lambda: models.grid_search(rows, models.CANDIDATES[candidate]))
     timed("score_customers", lambda: QUERIES["score_customers"](spark, SF_DIR).write.format("noop").mode("overwrite").save())
-    # if boosting or the forest is best, a grid of four: boosting's full grid is 120 fits of up to 150 trees
-    small = {
-        models.BOOSTED: {"trees": [100], "max_depth": [4, 5], "rate": [0.05, 0.1]},
-        models.FOREST: {"trees": [100], "max_depth": [8, 12], "min_split": [2, 5]},
-    }
-    weights = {models.BOOSTED: (1.5,)}
     folder = shared_dir(spark, f"bench-{time.time_ns()}")
     customers = derived.table(spark, SF_DIR, "customers")
-    timed("retrain", lambda: retrain.retrain(customers, f"{folder}/registry", f"{folder}/models", grids=small, weights=weights))
+    timed("retrain", lambda: retrain.retrain(customers, f"{folder}/registry", f"{folder}/models"))
     print(
         json.dumps(
             {

@@ -14,6 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def projection(inputs: int, size: int, gamma: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and phases of the map."""
+    rng = np.random.default_rng(seed)
+    return rng.normal(0.0, np.sqrt(2 * gamma), (inputs, size)), rng.uniform(0.0, 2 * np.pi, size)
+
+
 class _Kernel(Params):
     inputCol = Param(Params._dummy(), "inputCol", "vector column", TypeConverters.toString)
     outputCol = Param(Params._dummy(), "outputCol", "mapped vector column", TypeConverters.toString)
@@ -27,9 +33,7 @@ class RandomFourierModel(Model, _Kernel, DefaultParamsReadable, DefaultParamsWri
     def _transform(self, dataset: DataFrame) -> DataFrame:
         get = self.getOrDefault
         size, inputs, gamma = get(self.dimensions), get(self.inputs), float(get(self.gamma))
-        rng = np.random.default_rng(get(self.seed))
-        weights = rng.normal(0.0, np.sqrt(2 * gamma), (inputs, size))
-        phases = rng.uniform(0.0, 2 * np.pi, size)
+        weights, phases = projection(inputs, size, gamma, get(self.seed))
 
         # a matrix product per Arrow batch; Spark has no column function for it
         @F.pandas_udf("array<double>")

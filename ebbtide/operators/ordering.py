@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Distinct values that one window task may sort in the last step of a quantile.
 EXACT_VALUES = 10_000
@@ -128,6 +129,52 @@ def exact_medians(df: DataFrame, columns: list[str], max_values: int = EXACT_VAL
     return {c: found[c][0] for c in columns}
 
 
+def grouped_medians(values: DataFrame, group: list[str], value: str, max_values: int = EXACT_VALUES) -> DataFrame:
+    """group columns, median: the exact median of every group that has a value.
+
+    For groups that are few and rows that are many: what is known of each group's bracket is a broadcast
+    row. A pass cuts all brackets to those around approximate percentiles and counts what lies below and
+    inside; passes go on while a bracket that still shrinks holds more than max_values different values.
+    """
+    rows = values.select(*group, F.col(value).cast("double").alias("v")).where("v IS NOT NULL")
+    spark, keys = values.sparkSession, T.StructType([values.schema[c] for c in group])
+    bracket_type = T.StructType([*keys, *[T.StructField(c, T.DoubleType()) for c in ("low", "high")], *[T.StructField(c, T.LongType()) for c in ("n", "below", "inner")]])
+    sizes = rows.groupBy(*group).agg(F.count("*").alias("n"), F.approx_count_distinct("v", ROUGHLY).alias("distinct")).collect()
+    brackets = {tuple(r[c] for c in group): (float("-inf"), float("inf"), r["n"], 0, r["n"]) for r in sizes}
+
+    def known() -> DataFrame:
+        return F.broadcast(spark.createDataFrame([(*k, *b) for k, b in brackets.items()], bracket_type))
+
+    wide = {tuple(r[c] for c in group) for r in sizes if r["distinct"] > max_values}
+    while wide:
+        place = ((F.col("n") - 1) / 2 - F.col("below")) / F.greatest(F.col("inner") - 1, F.lit(1))
+        inside = rows.join(known(), group).where(F.col("v").between(F.col("low"), F.col("high")))
+        cut = inside.groupBy(*group).agg(F.first(place).alias("p"), F.percentile_approx("v", [i / 1000 for i in range(1001)], 2_000).alias("c"))
+        at = lambda d: F.get("c", F.least(F.greatest(F.round(F.col("p") * 1000).cast("int") + d, F.lit(0)), F.lit(1000)))
+        cuts = spark.createDataFrame(cut.select(*group, at(-1).alias("l"), at(1).alias("h")).collect(), T.StructType([*keys, T.StructField("l", T.DoubleType()), T.StructField("h", T.DoubleType())]))
+        between = F.when(F.col("v").between(F.col("l"), F.col("h")), F.col("v"))
+        found = rows.join(F.broadcast(cuts), group).groupBy(*group, "l", "h").agg(
+            F.count_if(F.col("v") < F.col("l")).alias("below"), F.count(between).alias("inner"), F.approx_count_distinct(between, ROUGHLY).alias("distinct")
+        )
+        moved = set()
+        for r in found.collect():
+            key = tuple(r[c] for c in group)
+            n, had = brackets[key][2], brackets[key][4]
+            first = (n - 1) // 2
+            if key in wide and r["below"] <= first and min(first + 1, n - 1) < r["below"] + r["inner"] < r["below"] + had:
+                brackets[key] = (r["l"], r["h"], n, r["below"], r["inner"])
+                if r["distinct"] > max_values:
+                    moved.add(key)
+        wide = moved
+    inside = rows.join(known(), group).where(F.col("v").between(F.col("low"), F.col("high")))
+    up_to = F.sum("count").over(Window.partitionBy(*group).orderBy("v")) + F.col("below")
+    counted = inside.groupBy(*group, "n", "below", "v").count().withColumn("up_to", up_to)
+    first = F.floor((F.col("n") - 1) / 2)
+    ends = [F.min(F.when(F.col("up_to") > place, F.col("v"))) for place in (first, F.least(first + 1, F.col("n") - 1))]
+    halfway = F.when(F.first("n") % 2 == 0, (ends[0] + ends[1]) / 2).otherwise(ends[0])
+    return counted.groupBy(*group).agg(halfway.alias("median"))
+
+
 def default_ranges(df: DataFrame) -> int:
     return max(RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.functions.features import add_engineered_features
-from ebbtide.operators.ordering import exact_medians
+from ebbtide.operators.ordering import exact_medians, grouped_medians
 
 # What is fed to the models, in this order.
 NUMERIC = [
@@ -43,12 +44,12 @@ class EngineeredFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritab
         return add_engineered_features(dataset)
 
 
-def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """column, value, count of several columns; one pass, summed before it is shuffled."""
+def value_counts(df: DataFrame, columns: list[str], by: Iterable[str] = ()) -> DataFrame:
+    """column, value, count of several columns, by more columns if asked; one pass, summed before it is shuffled."""
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
     )
-    return df.select(F.explode(pairs).alias("x")).select("x.*").where("value IS NOT NULL").groupBy("column", "value").count()
+    return df.select(*by, F.explode(pairs).alias("x")).select(*by, "x.*").where("value IS NOT NULL").groupBy("column", "value", *by).count()
 
 
 def modes(counts: DataFrame) -> dict[str, str]:
@@ -84,6 +85,40 @@ def fit_scales(df: DataFrame, medians: dict[str, float | None]) -> dict[str, tup
     return {c: (row[f"m_{c}"] or 0.0, row[f"s_{c}"] or 1.0) for c in NUMERIC}
 
 
+def fit_parts(df: DataFrame, parts: dict[int, Column], fold: str = "fold") -> dict[int, ChurnPreprocessorModel]:
+    """The preprocessors of several parts of the rows, in the passes that one takes.
+
+    parts: by number a condition on the fold column. Medians and scales of all columns and parts come from
+    the same grouped passes, categories from counts per fold, which are added up by part.
+    """
+    own = F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in parts.items()]))
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in NUMERIC])
+    values = df.select(own.alias("parts"), F.explode(cells).alias("x")).select("x.*", F.explode("parts").alias("part"))
+    medians = {(r["column"], r["part"]): r["median"] for r in grouped_medians(values, ["column", "part"], "value").collect()}
+    rows = [(c, k, medians.get((c, k))) for c in NUMERIC for k in parts]
+    imputed = values.join(F.broadcast(df.sparkSession.createDataFrame(rows, "column string, part int, median double")), ["column", "part"])
+    value = F.coalesce("value", "median")
+    moments = imputed.groupBy("column", "part").agg(F.avg(value).alias("m"), F.stddev_pop(value).alias("s")).collect()
+    scales = {(r["column"], r["part"]): (r["m"] or 0.0, r["s"] or 1.0) for r in moments}
+
+    per_value = value_counts(df, CATEGORICAL + BINARY, [fold]).groupBy("column", "value")
+    counts = per_value.agg(*[F.sum(F.when(c, F.col("count"))).alias(f"n_{k}") for k, c in parts.items()]).persist()
+    order = {k: F.struct(-F.col(f"n_{k}"), "value") for k in parts}
+    best = counts.groupBy("column").agg(*[F.min_by("value", F.when(F.col(f"n_{k}") > 0, order[k])).alias(f"v_{k}") for k in parts])
+    common = {(r["column"], k): r[f"v_{k}"] for r in best.collect() for k in parts}  # a row per column
+    known = {k: categories(counts.where(F.col(f"n_{k}") > 0), CATEGORICAL) for k in parts}
+    counts.unpersist()
+    return {
+        k: ChurnPreprocessorModel(json.dumps({
+            "medians": {c: medians.get((c, k)) for c in NUMERIC},
+            "scales": {c: scales.get((c, k), (0.0, 1.0)) for c in NUMERIC},
+            "modes": {c: common.get((c, k)) for c in CATEGORICAL + BINARY},
+            "categories": known[k],
+        }))
+        for k in parts
+    }
+
+
 class _Fitted(Params):
     statistics = Param(Params._dummy(), "statistics", "fitted values as JSON", TypeConverters.toString)
     outputCol = Param(Params._dummy(), "outputCol", "name of the vector column", TypeConverters.toString)

@@ -609,7 +609,7 @@ oracle(
 
 oracle(
     "retrain_events",
-    """SELECT * FROM (VALUES ('started', 1), ('loaded', 1), ('candidate', 2), ('best candidate', 1), ('tuned', 1), ('updated', 1)) e(event, n)
+    """SELECT * FROM (VALUES ('started', 1), ('loaded', 1), ('candidate', 4), ('best candidate', 1), ('tuned', 1), ('updated', 1)) e(event, n)
       LEFT JOIN (SELECT 'loaded' AS event, CAST(COUNT(*) AS DOUBLE) AS dataset_size FROM customers) s USING (event)""",
 )
 oracle("scored_customers_hold", "SELECT customer_id, TRUE AS is_percent, TRUE AS is_band FROM customers")

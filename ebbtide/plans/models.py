@@ -2,31 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from itertools import product
 from typing import Any
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml import Model, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from ebbtide.operators.blocks import ALL, auc_by_setting, to_blocks
 from ebbtide.operators.importance import permutation_importance
-from ebbtide.operators.kernel import RandomFourierFeatures
+from ebbtide.operators.linear import KernelTrainer, LogisticTrainer
 from ebbtide.operators.metrics import classification_metrics, roc_auc
-from ebbtide.operators.preprocess import ChurnPreprocessor, ChurnPreprocessorModel, EngineeredFeatures
+from ebbtide.operators.preprocess import ChurnPreprocessorModel, EngineeredFeatures, fit_parts
 from ebbtide.operators.splits import FOLDS, split_rule, with_folds
+from ebbtide.operators.trees import BoostedTrainer, ForestTrainer
 from ebbtide.schemas import MODEL_METRICS
 from ebbtide.session import ensure_checkpoint_dir
 
 SEED = 42
 LABEL = "exited"
-WEIGHT = "weight"
 
 LOGISTIC = "Logistic Regression"
 FOREST = "Random Forest"
@@ -35,92 +33,39 @@ BOOSTED = "Gradient Boosting (weighted)"
 BOOSTED_PLAIN = "Gradient Boosting"
 
 
-def logistic_regression(n: int, C: float = 1.0, max_iter: int = 1000) -> Estimator:
-    """L2 penalty of weight 1/C on the sum of losses, so 1/(C n) on their mean."""
-    return LogisticRegression(
-        labelCol=LABEL, maxIter=max_iter, regParam=1.0 / (C * n), elasticNetParam=0.0, standardization=False
-    )
-
-
-def random_forest(n: int, trees: int = 100, max_depth: int | None = None, min_split: int = 2) -> Estimator:
-    """`max_depth` None means as deep as Spark allows, 30; a leaf keeps at least half a split."""
-    return RandomForestClassifier(
-        labelCol=LABEL,
-        numTrees=trees,
-        maxDepth=30 if max_depth is None else max_depth,
-        minInstancesPerNode=max(1, min_split // 2),
-        featureSubsetStrategy="sqrt",
-        maxMemoryInMB=1024,
-        seed=SEED,
-    )
-
-
-def rbf_svm(n: int, C: float = 1.0, gamma: str = "scale", dimensions: int = 256) -> Estimator:
-    """RBF machine: random Fourier features, a linear SVM on them, a logistic fit of its margin.
-
-    The class is the sign of the margin; the probability comes from the logistic fit.
-    """
-    return Pipeline(
-        stages=[
-            RandomFourierFeatures(gamma=gamma, dimensions=dimensions, seed=SEED),
-            LinearSVC(
-                labelCol=LABEL,
-                featuresCol="kernel",
-                rawPredictionCol="margin",
-                maxIter=100,
-                regParam=1.0 / (C * n),
-                standardization=False,
-            ),
-            LogisticRegression(labelCol=LABEL, featuresCol="margin", predictionCol="margin_class"),
-        ]
-    )
-
-
-def boosted_trees(n: int, trees: int = 150, max_depth: int = 5, rate: float = 0.05) -> Estimator:
-    return GBTClassifier(
-        labelCol=LABEL,
-        weightCol=WEIGHT,
-        maxIter=trees,
-        maxDepth=max_depth,
-        stepSize=rate,
-        maxMemoryInMB=1024,
-        seed=SEED,
-    )
-
-
 @dataclass(frozen=True)
 class Candidate:
-    """A classifier: how it is built from the training size, and the values tried in tuning.
+    """A classifier: its trainer, what it is given by default, and the values tried in tuning.
 
-    `positive_weight` is a column of the training frame, not a parameter of the estimator.
+    A trainer has fit(blocks, **setting) and cross_scores(blocks, parts, settings); see operators.blocks.
+    `weights` are the weights of positive rows that are tried, for a trainer that has them.
     """
 
     name: str
-    build: Callable[..., Estimator]
+    trainer: Any
     defaults: dict[str, Any] = field(default_factory=dict)
-    positive_weight: float = 1.0
     grid: dict[str, list] = field(default_factory=dict)
-    weights: tuple[float, ...] = (1.0,)
+    weights: tuple[float, ...] | None = None
 
 
 # Default parameters and tuning grids of each candidate.
 CANDIDATES = {
-    LOGISTIC: Candidate(LOGISTIC, logistic_regression, grid={"C": [0.01, 0.1, 1.0, 10.0]}),
+    LOGISTIC: Candidate(LOGISTIC, LogisticTrainer(), grid={"C": [0.01, 0.1, 1.0, 10.0]}),
     FOREST: Candidate(
-        FOREST, random_forest, grid={"trees": [100, 150], "max_depth": [8, 12, None], "min_split": [2, 5]}
+        FOREST, ForestTrainer(SEED), grid={"trees": [100, 150], "max_depth": [8, 12, None], "min_split": [2, 5]}
     ),
-    SVM: Candidate(SVM, rbf_svm, grid={"C": [0.1, 1.0, 10.0], "gamma": ["scale", "auto"]}),
+    SVM: Candidate(SVM, KernelTrainer(SEED), grid={"C": [0.1, 1.0, 10.0], "gamma": ["scale", "auto"]}),
     BOOSTED: Candidate(
         BOOSTED,
-        boosted_trees,
-        positive_weight=1.5,
+        BoostedTrainer(),
+        defaults={"trees": 150, "max_depth": 5, "rate": 0.05, "positive_weight": 1.5},
         grid={"trees": [100, 150], "max_depth": [4, 5], "rate": [0.05, 0.1]},
         weights=(1.0, 1.5, 2.0),
     ),
     BOOSTED_PLAIN: Candidate(
         BOOSTED_PLAIN,
-        boosted_trees,
-        defaults={"trees": 100, "rate": 0.1},
+        BoostedTrainer(penalty=0.0, least=0.001),
+        defaults={"trees": 100, "max_depth": 5, "rate": 0.1},
         grid={"trees": [100, 150], "max_depth": [3, 5], "rate": [0.05, 0.1]},
     ),
 }
@@ -130,19 +75,24 @@ COMPARED = [LOGISTIC, FOREST, SVM, BOOSTED]
 
 @dataclass
 class TrainingFrame:
-    """Preprocessed rows: key, label, features, split; the fit saw training rows only."""
+    """Preprocessed rows: key, label, features, split; the fit saw training rows only.
+
+    `blocks` holds the training rows as numbers, by part: all of them, and for each fold as what the other
+    folds know encodes them.
+    """
 
     preprocessor: PipelineModel
     rows: DataFrame
     n_train: int
     n_total: int
     partitions: int
-    raw_train: DataFrame | None = None  # training customers with their fold, for folds with own preprocessing
+    folds: int
+    raw: DataFrame  # engineered rows with split and fold
+    blocks: DataFrame
 
     def release(self) -> None:
-        self.rows.unpersist()
-        if self.raw_train is not None:
-            self.raw_train.unpersist()
+        for df in (self.rows, self.raw, self.blocks):
+            df.unpersist()
 
     @property
     def encoder(self) -> ChurnPreprocessorModel:
@@ -156,47 +106,57 @@ class TrainingFrame:
     def test(self) -> DataFrame:
         return self.rows.where("split = 'test'")
 
-
-PARTITIONS = 4
+    def prefit_blocks(self) -> DataFrame:
+        """Blocks whose folds are all encoded by what the whole training part knows."""
+        return _blocks(self.raw, dict.fromkeys(range(self.folds), self.encoder))
 
 
 def _placed(df: DataFrame, partitions: int) -> DataFrame:
-    """Rows placed by their key and in its order: what a fit draws depends on the number of
-    partitions, but not on the cores or on where the rows were read."""
+    """Rows placed by their key and in its order, wherever they were read."""
     return df.repartition(partitions, "customer_id").sortWithinPartitions("customer_id")
 
 
-def training_frame(customers: DataFrame, folds: int | None = None, partitions: int = PARTITIONS) -> TrainingFrame:
-    """Split, fit the preprocessor on the training part, transform all, keep what fits need.
+def _blocks(raw: DataFrame, encoders: dict[int, ChurnPreprocessorModel]) -> DataFrame:
+    """Labelled training rows once per encoder, in one pass; a checkpoint ends their lineage."""
+    parts = [
+        F.struct(F.lit(part).alias("part"), F.array(*[c.cast("double") for c in e.columns().values()]).alias("features"))
+        for part, e in encoders.items()
+    ]
+    train = raw.where((F.col("split") == "train") & F.col(LABEL).isNotNull())
+    label = F.col(LABEL).cast("double").alias("label")
+    wide = train.select(F.xxhash64("customer_id").alias("place"), label, "fold", F.explode(F.array(*parts)).alias("p"))
+    return to_blocks(wide.select("place", "label", "fold", "p.*")).checkpoint().persist()
+
 
-    A fit runs its jobs once per iteration and partition: give large tables as many partitions
-    as there are cores. The sampling of the forest and of boosting depends on the number.
+def training_frame(customers: DataFrame, folds: int | None = None, partitions: int | None = None) -> TrainingFrame:
+    """Split, fit the preprocessors of the training part and of all folds, transform, keep what fits need.
+
+    Rows lie in as many partitions as there are cores, unless a number is given. Trees do not depend on
+    it; sums of other fits do in their last bits.
     """
-    rule = split_rule(customers, LABEL)
-    split = customers.withColumn("split", rule)
-    counts = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
-    stages = [EngineeredFeatures(), ChurnPreprocessor()]
-    preprocessor = Pipeline(stages=stages).fit(split.where("split = 'train'"))
-    rows = preprocessor.transform(split).select("customer_id", F.col(LABEL).cast("double").alias(LABEL), "split", "features")
-    n_total = sum(counts.values())
-    if folds:
-        train = with_folds(rows.where("split = 'train'"), LABEL, folds=folds)
-        rows = train.unionByName(rows.where("split = 'test'").withColumn("fold", F.lit(-1)))
-    # every iteration of a fit ships its lineage to the tasks; a checkpoint keeps it short
-    ensure_checkpoint_dir(customers.sparkSession)
-    rows = _placed(rows, partitions).checkpoint().persist()
-    raw = with_folds(split.where("split = 'train'").drop("split"), LABEL, folds=folds).persist() if folds else None
-    return TrainingFrame(preprocessor, rows, counts.get("train", 0), n_total, partitions, raw)
-
-
-def weighted(rows: DataFrame, positive_weight: float) -> DataFrame:
-    return rows.withColumn(WEIGHT, F.when(F.col(LABEL) == 1, positive_weight).otherwise(1.0))
+    spark = customers.sparkSession
+    partitions = partitions or max(4, spark.sparkContext.defaultParallelism)
+    split = customers.withColumn("split", split_rule(customers, LABEL))
+    train = split.where("split = 'train'")
+    train = with_folds(train, LABEL, folds=folds) if folds else train.withColumn("fold", F.lit(0))
+    # every step of a fit ships its lineage to the tasks; a checkpoint keeps it short
+    ensure_checkpoint_dir(spark)
+    both = train.unionByName(split.where("split = 'test'").withColumn("fold", F.lit(-1)))
+    raw = _placed(EngineeredFeatures().transform(both), partitions).checkpoint().persist()
+    counts = {r["split"]: r["count"] for r in raw.groupBy("split").count().collect()}
+    conditions = {ALL: F.col("fold") >= 0, **{k: F.col("fold") != k for k in range(folds or 0)}}
+    encoders = fit_parts(raw.where("split = 'train'"), conditions)
+    encoder = encoders[ALL]
+    label = F.col(LABEL).cast("double").alias(LABEL)
+    rows = encoder.transform(raw).select("customer_id", label, "split", "fold", "features").persist()
+    blocks = _blocks(raw, encoders)
+    return TrainingFrame(
+        PipelineModel([EngineeredFeatures(), encoder]), rows, counts.get("train", 0), sum(counts.values()), partitions, folds or 0, raw, blocks
+    )
 
 
 def fit_candidate(frame: TrainingFrame, candidate: Candidate, **parameters: Any) -> Model:
-    weight = parameters.pop("positive_weight", candidate.positive_weight)
-    estimator = candidate.build(frame.n_train, **{**candidate.defaults, **parameters})
-    return estimator.fit(weighted(frame.train, weight))
+    return candidate.trainer.fit(frame.blocks, **{**candidate.defaults, **parameters})
 
 
 def score(model: Model, rows: DataFrame) -> DataFrame:
@@ -260,61 +220,34 @@ class Tuned:
     model: Model
 
 
-def _fold_rows(frame: TrainingFrame, fold: int, prefit: bool) -> DataFrame:
-    """Training rows as one fold sees them: unless prefit, encoded by what the other folds know."""
-    if prefit:
-        return frame.train
-    raw = frame.raw_train
-    fitted = Pipeline(stages=[EngineeredFeatures(), ChurnPreprocessor()]).fit(raw.where(F.col("fold") != fold))
-    rows = fitted.transform(raw).select("customer_id", F.col(LABEL).cast("double").alias(LABEL), "features", "fold")
-    return _placed(rows, frame.partitions).persist()
-
-
 def grid_search(
     frame: TrainingFrame,
     candidate: Candidate,
     grid: dict[str, list] | None = None,
     weights: tuple[float, ...] | None = None,
     folds: int = FOLDS,
-    parallelism: int | None = None,
     prefit: bool = False,
 ) -> Tuned:
-    """Cross-validated search by ROC-AUC over stratified folds, then a fit on all training rows.
+    """Cross-validated search by ROC-AUC over the frame's folds, then a fit on all training rows.
 
-    Each fold is preprocessed by what its training rows alone tell; with `prefit` all share the
-    frame's preprocessing, fitted on the whole training part. As many fits run side by side as the
-    session's cores have room for, a core per partition.
+    All settings and folds are fitted side by side. Each fold is preprocessed by what its training rows
+    alone tell; with `prefit` all share the frame's preprocessing, fitted on the whole training part.
     """
+    if folds != frame.folds:
+        raise ValueError(f"the training frame has {frame.folds} folds, not {folds}")
     grid = candidate.grid if grid is None else grid
     weights = candidate.weights if weights is None else weights
-    settings = [{**dict(zip(grid, values)), "positive_weight": w} for w in weights for values in product(*grid.values())]
-    spark = frame.rows.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    parallelism = parallelism or max(2, cores // frame.partitions)
-    evaluator = BinaryClassificationEvaluator(
-        labelCol=LABEL, rawPredictionCol="probability", metricName="areaUnderROC", numBins=0
-    )
-    n_fit = frame.n_train * (folds - 1) // folds
-    aucs: dict[int, list[float]] = {i: [] for i in range(len(settings))}
-    with ThreadPoolExecutor(parallelism) as pool:
-        for fold in range(folds):
-            rows = _fold_rows(frame, fold, prefit)
-
-            def auc(setting: dict[str, Any], rows: DataFrame = rows, fold: int = fold) -> float:
-                weight = setting["positive_weight"]
-                chosen = {**candidate.defaults, **{k: v for k, v in setting.items() if k != "positive_weight"}}
-                model = candidate.build(n_fit, **chosen).fit(weighted(rows.where(F.col("fold") != fold), weight))
-                return evaluator.evaluate(model.transform(rows.where(F.col("fold") == fold)))
-
-            for i, value in enumerate(pool.map(inheritable_thread_target(spark)(auc), settings)):
-                aucs[i].append(value)
-            if not prefit:
-                rows.unpersist()
-    results = [(s, sum(aucs[i]) / folds) for i, s in enumerate(settings)]
+    weighed = [{"positive_weight": w} for w in weights] if weights else [{}]
+    settings = [{**dict(zip(grid, values)), **w} for w in weighed for values in product(*grid.values())]
+    blocks = frame.prefit_blocks() if prefit else frame.blocks.where(F.col("part") != ALL)
+    scores = candidate.trainer.cross_scores(blocks, list(range(folds)), [{**candidate.defaults, **s} for s in settings])
+    aucs = auc_by_setting(scores)
+    results = [(s, aucs[i]) for i, s in enumerate(settings)]
     parameters, cv_auc = max(results, key=lambda r: r[1])  # the first of equals
-    table = spark.createDataFrame(
-        [(str(p), float(mean)) for p, mean in results], "parameters string, cv_auc double"
-    )
+    if prefit:
+        blocks.unpersist()
+    spark = frame.rows.sparkSession
+    table = spark.createDataFrame([(str(p), float(mean)) for p, mean in results], "parameters string, cv_auc double")
     return Tuned(parameters, float(cv_auc), table, fit_candidate(frame, candidate, **parameters))
 
 

@@ -138,11 +138,6 @@ def test_candidates_and_grid(frame):
     assert set(tuned.parameters) == {"trees", "max_depth", "positive_weight"}
 
 
-def test_svm_grid_parameters_reach_the_stages():
-    kernel, svc, _ = models.rbf_svm(100, C=10.0, gamma="auto").getStages()
-    assert kernel.getOrDefault(kernel.gamma) == "auto" and svc.getRegParam() == 1 / 1000
-
-
 def test_folds_with_their_own_preprocessing(frame):
     own, shared = (
         models.grid_search(frame, models.CANDIDATES[models.LOGISTIC], {"C": [0.1, 1.0]}, prefit=p) for p in (False, True)
