@@ -13,7 +13,6 @@ from ebbtide import catalog
 from ebbtide.operators import blocks as B
 from ebbtide.operators import linear, preprocess
 from ebbtide.plans import models
-from ebbtide.sources import derived
 
 SF = "/root/testdata/sf0.01"
 
@@ -152,7 +151,3 @@ def test_sums_do_not_depend_on_who_is_first(spark):
     problems = [linear.Problem(B.ALL, 1.0), linear.Problem(B.ALL, 1.0, held_out=1)]
     one, two = linear.solve(data, problems), linear.solve(data, problems)
     assert all((a == b).all() for a, b in zip(one, two, strict=True))
-
-
-def test_frames_of_customers_table(spark):
-    assert derived.table(spark, SF, "customers").count() == catalog.frame(spark, SF).n_total
