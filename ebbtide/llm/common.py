@@ -66,15 +66,18 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int = 1 <
             yield batch.slice(first)
 
 
-def _few(keys: DataFrame, most_bytes: int, row_bytes: int = 16) -> bool:
+def _few(keys: DataFrame, most_bytes: int, row_bytes: int = 64) -> bool:
+    """Whether a hash relation of the rows (a number each, unless row_bytes says more) stays within most_bytes."""
     return keys.count() * row_bytes <= most_bytes
 
 
 def in_order(df: DataFrame, rows: int, each: int, *columns: str) -> DataFrame:
-    """df sorted by the columns over all its partitions, about `each` of its rows (so many in all) or
-    more in one. Every task has one range of the order: its rows go on in the tasks beside it only."""
-    count = max(1, min(shuffle_partitions(df.sparkSession), -(-rows // each)))
-    return df.repartitionByRange(count, *columns).sortWithinPartitions(*columns)
+    """df sorted by the columns over all its partitions, about `each` of its rows (so many in all) in one.
+
+    The rows alone decide the number of tasks, so what a task reads does not grow with the table. Every
+    task has one range of the order: its rows go on in the tasks beside it only.
+    """
+    return df.repartitionByRange(max(1, -(-rows // each)), *columns).sortWithinPartitions(*columns)
 
 
 def only_keys(df: DataFrame, keys: DataFrame, key: str, most_bytes: int = 32 << 20) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ebbtide.llm.common import discard, stored
 
 
-TASK_LINKS = 500_000  # links of a task are joined at once
+TASK_LINKS = 100_000  # links of a task are joined at once
 
 
 class Union:

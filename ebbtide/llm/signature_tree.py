@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm.block_tree import block_pairs, with_payloads
-from ebbtide.llm.common import beside, in_order, only_keys, shuffle_partitions, slices, stored, without_keys
+from ebbtide.llm.common import beside, discard, in_order, only_keys, slices, stored, without_keys
 from ebbtide.llm.components import Union, components
 from ebbtide.llm.words import shingle_sets, text_bytes, words_of
 
@@ -46,6 +46,9 @@ FREQUENT_FROM = 4  # documents of the sample
 
 SET_ROWS = 5_000  # rows with sets that a task may hold the blocks of
 MAP_ROWS = 20_000  # rows with bitmaps
+ROOT_ROWS = 500_000  # rows of a root and a document
+ROWS_AT_ONCE = 128  # of an Arrow batch, as Python objects
+PAIRS_AT_ONCE = 8_192  # pairs of bitmaps that are compared at once
 
 WORDS = BITS // 64
 
@@ -82,7 +85,7 @@ def meet(a: Tree, b: Tree, same: bool, percent: int) -> tuple[np.ndarray, np.nda
     a, b = a.rise(depth), b.rise(depth)
     i, j = np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
     for level in range(depth - 1, -1, -1):
-        common = np.bitwise_count(a.maps[level][i] & b.maps[level][j]).sum(axis=1).astype(np.int64)
+        common = _common_bits(a.maps[level], b.maps[level], i, j)
         low_a, low_b, high_a, high_b = a.low[level][i], b.low[level][j], a.high[level][i], b.high[level][j]
         most = np.minimum(np.minimum(high_a, high_b), common + np.minimum(a.slack[level][i], b.slack[level][j]))
         keep = (most * (100 + percent) >= percent * (low_a + low_b)) & (100 * high_a >= percent * low_b) & (100 * high_b >= percent * low_a)
@@ -98,6 +101,15 @@ def meet(a: Tree, b: Tree, same: bool, percent: int) -> tuple[np.ndarray, np.nda
     return i, j
 
 
+def _common_bits(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Bits that a[i] and b[j] share, pair by pair."""
+    out = np.empty(len(i), dtype=np.int64)
+    for at in range(0, len(i), PAIRS_AT_ONCE):
+        own = slice(at, at + PAIRS_AT_ONCE)
+        out[own] = np.bitwise_count(a[i[own]] & b[j[own]]).sum(axis=1)
+    return out
+
+
 def _children(nodes: np.ndarray, above: int, below: int) -> np.ndarray:
     """Numbers of each node's children, -1 where there is none."""
     if above == below:
@@ -204,8 +216,9 @@ def _sets(df: DataFrame, key: str, text: str, wanted: DataFrame, shingle: int, f
 def _runs(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[tuple[int, list[tuple], bool]]:
     """Rows in order of their root as blocks of one root; True if the root may have more blocks."""
     held, root, first, opened = [], None, True, False
-    for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+    parts = (batch.slice(at, ROWS_AT_ONCE) for batch in batches for at in range(0, batch.num_rows, ROWS_AT_ONCE))
+    for part in parts:
+        for row in zip(*(c.to_pylist() for c in part.columns), strict=True):
             if held and row[0] != root:
                 yield root, held, opened or first
                 held, opened, first = [], False, False
@@ -262,7 +275,6 @@ def _several(rows: DataFrame, column: str) -> DataFrame:
 
 
 def _by_first_shingle(df: DataFrame, key: str, text: str, classes: DataFrame, shingle: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    spark = df.sparkSession
     roots = classes.select(F.col("prefix")[0].alias("root"), "doc")
     wanted = stored(roots.join(_several(roots, "doc"), "root", "left_semi").select("doc"), "rooted")
     rows, count = _sets(df, key, text, wanted, shingle, frequent).drop("wide"), wanted.count()
@@ -274,7 +286,8 @@ def _by_first_shingle(df: DataFrame, key: str, text: str, classes: DataFrame, sh
         found = links if found is None else found.unionByName(links)
         rest = out.where("root IS NOT NULL").select("root", "doc", "n", "map", "shingles")
         rest = rest.join(_several(rest, "doc"), "root", "left_semi")
-        rest = stored(rest, "first-left")
+        before, rest = (rows if left is not None else wanted), stored(rest, "first-left")
+        discard(before)
         count = rest.count()
         # groups that do not shrink are left to the second step
         if count == 0 or (left is not None and 2 * count > left):
@@ -373,12 +386,9 @@ def _few_met(batch: pa.RecordBatch, percent: int, nearest: bool) -> pa.RecordBat
         j = i + step
         keep = _sizes_allow(mark[i], mark[j], percent) & (component[i] != component[j])
         i, j = i[keep], j[keep]
-        for first in range(0, len(i), 50_000):
-            x, y = i[first : first + 50_000], j[first : first + 50_000]
-            common = np.bitwise_count(maps[x] & maps[y]).sum(axis=1).astype(np.int64)
-            most = np.minimum(np.minimum(sizes[x], sizes[y]), common + np.minimum(slack[x], slack[y]))
-            near = most * (100 + percent) >= percent * (sizes[x] + sizes[y])
-            ends.append((doc[x[near]], doc[y[near]]))
+        most = np.minimum(np.minimum(sizes[i], sizes[j]), _common_bits(maps, maps, i, j) + np.minimum(slack[i], slack[j]))
+        near = most * (100 + percent) >= percent * (sizes[i] + sizes[j])
+        ends.append((doc[i[near]], doc[j[near]]))
     if not ends:
         return None
     a, b = (np.concatenate(e) for e in zip(*ends, strict=True))
@@ -452,7 +462,7 @@ def _candidates(percent: int, nearest: bool):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (batch.slice(at, 1).to_pylist()[0] for at in range(batch.num_rows)):
                 same = (row["a_part"], row["a_seq"]) == (row["b_part"], row["b_seq"])
                 sides = {s: [np.frombuffer(row[f"{s}_{c}"], dtype=np.int64) for c in ("docs", "sizes", "parts")] for s in "ab"}
                 trees = [Tree.over(np.frombuffer(row[f"{s}_maps"], dtype=np.uint64).reshape(-1, WORDS), sides[s][1]) for s in "ab"]
@@ -473,29 +483,36 @@ def _candidates(percent: int, nearest: bool):
 def _by_all_prefixes(
     df: DataFrame, key: str, text: str, classes: DataFrame, parts: DataFrame, shingle: int, percent: int, frequent: np.ndarray
 ) -> DataFrame:
-    spark = df.sparkSession
-    count = shuffle_partitions(spark)
     known = _with_components(classes, parts)
+    count = classes.agg(F.sum(F.size("prefix"))).first()[0] or 0
     short = F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / (100 + percent)).cast("long") + 2  # one more, should the division round
     rooted = known.select("doc", (F.col("component") - F.col("doc")).alias("shift"), "n", short.alias("short"), F.posexplode("prefix").alias("at", "root"))
     rooted = rooted.select("root", "doc", "shift", (F.col("n") * 2 + (F.col("at") < F.col("short")).cast("long")).alias("mark"))
-    order = rooted.repartitionByRange(count, "root", "doc").sortWithinPartitions("root", "doc")
+    order = in_order(rooted, count, ROOT_ROWS, "root", "doc")
     shared = stored(order.mapInArrow(_meeting(percent), "root long, doc long, shift long, mark long"), "shared").drop("shift")
     links = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
     # two rounds over one pair per document or component join what is left of large groups, so that the
     # last one, over all pairs, meets few that are connected anyway
     for nearest in (True, True, False):
         apart = _with_components(shared, parts)
-        shared = stored(apart.join(_several(apart, "component"), "root", "left_semi"), "shared")
-        maps = only_keys(classes.select("doc", "map"), stored(shared.select("doc").distinct(), "shared-documents"), "doc")
+        before, shared = shared, stored(apart.join(_several(apart, "component"), "root", "left_semi"), "shared")
+        discard(before)
+        rows_left = shared.count()
+        if not rows_left:  # no root has two components: nothing is left to find
+            return parts
+        documents = stored(shared.select("doc").distinct(), "shared-documents")
+        maps = only_keys(classes.select("doc", "map"), documents, "doc")
         rows = shared.join(maps, "doc").select("root", "doc", "mark", "map", "component")
-        order = in_order(rows, shared.count(), MAP_ROWS, "root", "mark", "doc")
+        order = in_order(rows, rows_left, MAP_ROWS, "root", "mark", "doc")
         met = stored(order.mapInArrow(_trees(percent, nearest), f"a long, b long, {BLOCK_SCHEMA}"), "met")
         across = _across_blocks(met.where("root IS NOT NULL").drop("a", "b"), percent, nearest)
         found = met.where("a IS NOT NULL").select("a", "b").unionByName(across)
         found = found.groupBy("b").agg(F.min("a").alias("a")).select("a", "b") if nearest else found.distinct()
-        links = links.unionByName(_checked(df, key, text, stored(found, "candidates"), shingle, percent, frequent))
-        parts = stored(components(links), "parts")
+        candidates = stored(found, "candidates")
+        more = _checked(df, key, text, candidates, shingle, percent, frequent)
+        known_parts, parts = parts, stored(components(links.unionByName(more)), "parts")
+        for done in (documents, met, candidates, more, known_parts):
+            discard(done)
         links = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
         shared = shared.drop("component")
     return parts
@@ -549,7 +566,10 @@ def _checked(df: DataFrame, key: str, text: str, found: DataFrame, shingle: int,
 
     # signatures with bits enough for long documents first: they are a sixteenth of the sets or less
     near = stored(with_both(found, "wide", "n").mapInArrow(keep_if(maps_allow), "a long, b long"), "near-pairs")
-    return stored(with_both(near, "shingles").mapInArrow(keep_if(sets_similar), "a long, b long"), "more-links")
+    out = stored(with_both(near, "shingles").mapInArrow(keep_if(sets_similar), "a long, b long"), "more-links")
+    for done in (wanted, sets, near):
+        discard(done)
+    return out
 
 
 def near_documents(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
