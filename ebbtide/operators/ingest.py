@@ -85,9 +85,12 @@ def _settle_clashes(valid: DataFrame, files: list[str]) -> tuple[set[str], set[s
     return accepted, set(files) - accepted
 
 
-def ingest_batch(rows: DataFrame, existing: DataFrame, mode: str = REJECT_FILE) -> IngestResult:
+def ingest_batch(rows: DataFrame, existing: DataFrame, mode: str = REJECT_FILE, claimed: DataFrame | None = None) -> IngestResult:
     """Decide about files of parsed rows.
 
+    `claimed` has the ids (a column customer_id) that earlier files of the same run added: a file that
+    shares one is treated as it would be if those files were among `rows`, before it.
+
     `rows` has file_name, rn (the place in the file) and the customer columns, and may have
     a boolean `unparsable`. Order inside a file: dedup, drop known ids, then ranges; the
     domain check looks at what would be written.
@@ -123,7 +126,19 @@ def ingest_batch(rows: DataFrame, existing: DataFrame, mode: str = REJECT_FILE)
             status[f["file_name"]] = CHECK_VIOLATION
         elif not f["valid_rows"]:
             status[f["file_name"]] = NO_NEW_ROWS
+    late: DataFrame | None = None
+    if claimed is not None:
+        open_ids = fresh.where("in_range").select("file_name", "customer_id")
+        # the rows of the batch are few beside the table: what is shared is looked up from their side
+        asked = open_ids.select("customer_id").distinct().persist()
+        taken_ids = join_checked(claimed.select("customer_id"), asked, ["customer_id"], "left_semi")
+        late = open_ids.join(taken_ids, "customer_id", "left_semi").persist()
+        kept_frames += [asked, late]
     candidates = sorted(f["file_name"] for f in counted if f["file_name"] not in status)
+    if late is not None and mode == REJECT_FILE:
+        too_late = {r["file_name"] for r in late.select("file_name").distinct().collect()} & set(candidates)
+        status.update(dict.fromkeys(too_late, DUPLICATE_IDS))
+        candidates = [name for name in candidates if name not in too_late]
     valid = fresh.where(F.col("in_range") & _in(set(candidates))).select("file_name", *CUSTOMER_COLUMNS)
 
     if mode == REJECT_FILE:
@@ -133,6 +148,8 @@ def ingest_batch(rows: DataFrame, existing: DataFrame, mode: str = REJECT_FILE)
         taken = valid.where(_in(accepted))
         written = {f["file_name"]: f["valid_rows"] for f in counted}
     else:
+        if late is not None:
+            valid = valid.join(late.select("customer_id").distinct(), "customer_id", "left_anti").select(valid.columns)
         taken = keep_first(valid, "customer_id", "file_name").persist()
         kept_frames.append(taken)
         status.update(dict.fromkeys(candidates, INGESTED))

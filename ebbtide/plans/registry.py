@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.schemas import MODEL_REGISTRY
-from ebbtide.session import path_exists
+from ebbtide.session import create_once, names_in, path_exists
 
 FORCE = "force"  # the new version becomes active whatever its score
 IF_BETTER = "if_better"  # only a strictly better one is added
@@ -60,25 +59,13 @@ def registered(registry: DataFrame, entry: DataFrame) -> DataFrame:
 
 def _newest(spark: SparkSession, path: str) -> int:
     """The number of the newest complete snapshot, from the names in the folder; 0 if there is none."""
-    if not path_exists(spark, path):
-        return 0
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [f.getPath().getName() for f in system.listStatus(at)]
-    numbers = [int(n.split("=")[1]) for n in names if n.startswith(f"{SNAPSHOT}=")]
+    numbers = [int(n.split("=")[1]) for n in names_in(spark, path) if n.startswith(f"{SNAPSHOT}=")]
     return max((n for n in numbers if path_exists(spark, f"{path}/{SNAPSHOT}={n:08d}/_SUCCESS")), default=0)
 
 
 def _claim(spark: SparkSession, path: str, number: int) -> bool:
     """Take a snapshot number; False if another writer has it. Creating a file is atomic."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_claims/{number:08d}")
-    try:
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, False).close()
-    except Py4JJavaError as error:
-        if "FileAlreadyExists" not in str(error.java_exception):
-            raise
-        return False
-    return True
+    return create_once(spark, f"{path}/_claims/{number:08d}")
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:

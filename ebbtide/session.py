@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Settings the jobs rely on; anything the cluster already sets wins.
@@ -62,6 +63,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
+def create_once(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it is there already. Of several callers one gets True."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, False).close()
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" not in str(error.java_exception):
+            raise
+        return False
+    return True
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Sorted names of what lies in a folder; none if there is no folder."""
+    if not path_exists(spark, folder):
+        return []
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return sorted(f.getPath().getName() for f in at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give checkpoint() a folder when the session has none yet."""
     if spark.sparkContext.getCheckpointDir() is None:

@@ -1,13 +1,18 @@
 """Folder ingest: a file stream discovers files, each micro-batch is decided as a whole.
 
 The table is a folder of Parquet partitions, one per ingest batch, and so is the file log.
-A batch replayed after a failure overwrites its own partitions and does not see them as
-existing rows, so it adds nothing twice.
+A batch writes its rows, then its log entries, then one marker in the table's folder. Only what
+has a marker counts, in the table as in the log: a batch that failed before leaves nothing
+behind that is seen, and a batch that is replayed after its marker does nothing.
+
+A run may take several batches. Files are decided as if all were one batch, whatever number of
+files a batch has: ids that the run itself has added so far are not known ids but ids of
+earlier files.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,11 +21,12 @@ from pyspark.sql import types as T
 
 from ebbtide.operators.ingest import DONE, MISSING_COLUMNS, REJECT_FILE, ingest_batch
 from ebbtide.schemas import CUSTOMER_COLUMNS, CUSTOMERS
-from ebbtide.session import path_exists
+from ebbtide.session import create_once, names_in, path_exists
 from ebbtide.sources.batches import find_files, read_files
 
 BATCH = "ingest_batch"
 FIRST = "base"
+MARKERS = "_committed"  # a folder that readers of the table skip
 
 FILE_LOG = T.StructType([
     T.StructField("file_name", T.StringType()),
@@ -52,12 +58,23 @@ def create_table(customers: DataFrame, table: str) -> None:
     customers.write.mode("overwrite").parquet(f"{table}/{BATCH}={FIRST}")
 
 
+def committed(spark: SparkSession, table: str) -> list[str]:
+    """Names of the batches that count."""
+    return names_in(spark, f"{table}/{MARKERS}")
+
+
+def _counted(spark: SparkSession, table: str) -> DataFrame:
+    """Customers of the table with their batch."""
+    return _read(spark, table, CUSTOMERS).where(F.col(BATCH).isin([FIRST, *committed(spark, table)]))
+
+
 def read_table(spark: SparkSession, table: str) -> DataFrame:
-    return _read(spark, table, CUSTOMERS).select(CUSTOMER_COLUMNS)
+    return _counted(spark, table).select(CUSTOMER_COLUMNS)
 
 
-def read_log(spark: SparkSession, log: str) -> DataFrame:
-    return _read(spark, log, FILE_LOG)
+def read_log(spark: SparkSession, log: str, table: str) -> DataFrame:
+    """Decisions of the batches that the table counts."""
+    return _read(spark, log, FILE_LOG).where(F.col(BATCH).isin(committed(spark, table)))
 
 
 def latest_status(log: DataFrame) -> DataFrame:
@@ -75,15 +92,24 @@ def ingest_files(
     archive: str | None = None,
     now: datetime | None = None,
     on_rows_added: Callable[[int], None] | None = None,
+    earlier: Collection[str] = (),
 ) -> DataFrame:
-    """Decide about the files, append what was accepted, log it, archive files that are done."""
+    """Decide about the files, append what was accepted, log it, archive files that are done.
+
+    `earlier` names the batches of the same run before this one. A batch that counts already is
+    not done again: its log entries are returned.
+    """
     now = now or datetime.now()
-    existing = _read(spark, table, CUSTOMERS).where(F.col(BATCH) != batch)
+    if batch in committed(spark, table):
+        return read_log(spark, log, table).where(F.col(BATCH) == batch).drop(BATCH)
+    own_run = F.col(BATCH).isin(list(earlier))
+    existing = _counted(spark, table).where(~own_run)
+    claimed = _counted(spark, table).where(own_run) if earlier else None
     rows, refused = read_files(spark, paths)
     entries = [(path, MISSING_COLUMNS, 0, 0, 0, 0, reason, now) for path, reason in refused.items()]
     added, with_header = 0, set()
     if rows is not None:
-        result = ingest_batch(rows, existing, mode)
+        result = ingest_batch(rows, existing, mode, claimed)
         decided = result.files.collect()  # one row per file
         added = sum(f["written_rows"] for f in decided)
         with_header = {f["file_name"] for f in decided}
@@ -97,6 +123,7 @@ def ingest_files(
     ]
     logged = spark.createDataFrame(entries, FILE_LOG)
     logged.coalesce(1).write.mode("overwrite").parquet(f"{log}/{BATCH}={batch}")
+    create_once(spark, f"{table}/{MARKERS}/{batch}")
     if archive:
         done = [e[0] for e in entries if e[1] in DONE]
         archive_files(spark, done, archive, now)
@@ -119,11 +146,11 @@ def archive_files(spark: SparkSession, paths: list[str], archive: str, now: date
             system.rename(source, jvm.org.apache.hadoop.fs.Path(target, f"{stem}_{stamp}{dot}{suffix}"))
 
 
-def open_files(spark: SparkSession, folder: str, log: str) -> list[str]:
+def open_files(spark: SparkSession, folder: str, log: str, table: str) -> list[str]:
     """Files of the folder that no run is done with; a rejected file is tried again."""
     found = find_files(spark, folder)
     listed = spark.createDataFrame([(path,) for path in found], "file_name string")
-    decided = latest_status(read_log(spark, log).join(listed, "file_name", "left_semi"))
+    decided = latest_status(read_log(spark, log, table).join(listed, "file_name", "left_semi"))
     done = {r["file_name"] for r in decided.where(F.col("status").isin(DONE)).collect()}  # among the listed ones
     return [path for path in found if path not in done]
 
@@ -133,17 +160,28 @@ def ingest_folder(
 ) -> DataFrame | None:
     """A run over all open files of the folder, max_files at a time; None if there are none.
 
-    What the driver and the plans hold follows max_files, not the folder. Each part is a batch of its
-    own: it finds the rows of earlier parts in the table.
+    What the driver and the plans hold follows max_files, not the folder; what is decided does not. A
+    run of the same name that was broken off goes on behind its last batch that counts.
     """
-    paths, logged = open_files(spark, folder, log), None
+    paths, logged = open_files(spark, folder, log, table), None
+    run = [name for name in committed(spark, table) if name.startswith(f"{batch}-")]
+    tried = _tried(spark, log, table, run)
+    paths = [p for p in paths if p not in tried]
     for first in range(0, len(paths), max_files):
-        name = batch if len(paths) <= max_files else f"{batch}-{first // max_files:06d}"
-        part = ingest_files(spark, paths[first : first + max_files], table, log, name, **options)
+        name = f"{batch}-{len(run):06d}"
+        part = ingest_files(spark, paths[first : first + max_files], table, log, name, earlier=run, **options)
+        run.append(name)
         logged = part if logged is None else logged.unionByName(part)
     return logged
 
 
+def _tried(spark: SparkSession, log: str, table: str, run: list[str]) -> set[str]:
+    """Files that the run has decided about, in whatever way."""
+    if not run:
+        return set()
+    return {r["file_name"] for r in read_log(spark, log, table).where(F.col(BATCH).isin(run)).select("file_name").collect()}
+
+
 def stream_folder(
     spark: SparkSession,
     folder: str,
@@ -167,10 +205,14 @@ def stream_folder(
         .select("path")
     )
 
+    run: list[str] = []  # batches of this run
+
     def decide(batch: DataFrame, epoch: int) -> None:
         paths = sorted(r["path"] for r in batch.collect())  # at most max_files
         if paths:
-            ingest_files(batch.sparkSession, paths, table, log, f"stream-{epoch:08d}", **options)
+            name = f"stream-{epoch:08d}"
+            ingest_files(batch.sparkSession, paths, table, log, name, earlier=tuple(run), **options)
+            run.append(name)
 
     return (
         found.writeStream.foreachBatch(decide)

@@ -137,8 +137,9 @@ def ids(spark, table):
     return sorted(r[0] for r in ingest_stream.read_table(spark, table).select("customer_id").collect())
 
 
-def statuses(spark, log):
-    return {r["file_name"].rsplit("/", 1)[-1]: r["status"] for r in ingest_stream.latest_status(ingest_stream.read_log(spark, log)).collect()}
+def statuses(spark, log, table=None):
+    table = table or log[: -len("log")] + "table"
+    return {r["file_name"].rsplit("/", 1)[-1]: r["status"] for r in ingest_stream.latest_status(ingest_stream.read_log(spark, log, table)).collect()}
 
 
 def test_folder_run(spark, place, tmp_path):
@@ -245,3 +246,71 @@ def test_quoted_line_breaks_stay_in_their_row(spark, place):
     write(folder, "a.csv", line(1) + ',"two\nlines"', line(2) + ",one", header=header)
     rows, refused = batches.read_files(spark, batches.find_files(spark, str(folder)))
     assert not refused and sorted(r["customer_id"] for r in rows.collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("mode", [ingest.REJECT_FILE, ingest.DROP_ROWS])
+def test_decisions_do_not_follow_the_size_of_the_parts(spark, tmp_path, mode):
+    """Files that share ids with earlier files, with the table, and with files that were rejected."""
+    found = []
+    for size in (1, 2, 3, 100):
+        folder, table, log = tmp_path / f"in{size}", str(tmp_path / f"table{size}"), str(tmp_path / f"log{size}")
+        folder.mkdir()
+        ingest_stream.create_table(existing(spark, 7), table)
+        write(folder, "a.csv", line(1), line(2))
+        write(folder, "b.csv", line(2), line(3))
+        write(folder, "c.csv", line(3), line(4))
+        write(folder, "d.csv", line(7))
+        write(folder, "e.csv", line(4), line(5, age=101))
+        write(folder, "f.csv", line(5), line(6))
+        logged = ingest_stream.ingest_folder(spark, str(folder), table, log, "run", max_files=size, mode=mode)
+        rows = {tuple(str(v) for v in r) for r in ingest_stream.read_table(spark, table).collect()}
+        counts = sorted((r["file_name"].rsplit("/", 1)[-1], *r[1:7]) for r in logged.collect())
+        found.append((rows, counts))
+    assert all(f == found[0] for f in found)
+    assert {c[0]: c[1] for c in found[0][1]} == (
+        {"a.csv": "ingested", "b.csv": "duplicate_ids", "c.csv": "ingested", "d.csv": "no_new_rows", "e.csv": "duplicate_ids", "f.csv": "ingested"}
+        if mode == ingest.REJECT_FILE
+        else {"a.csv": "ingested", "b.csv": "ingested", "c.csv": "ingested", "d.csv": "no_new_rows", "e.csv": "ingested", "f.csv": "ingested"}
+    )
+
+
+@pytest.mark.parametrize("lost", ["log", "marker"])
+def test_a_batch_that_broke_off_is_not_seen(spark, place, monkeypatch, lost):
+    """Its rows are written and then its log or its marker is not: the next run decides anew."""
+    folder, table, log = place
+    for i in range(3):
+        write(folder, f"{i}.csv", line(100 + i), line(200))
+    broken = "spark.createDataFrame" if lost == "log" else "create_once"
+
+    def fail(*_, **__):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest_stream, "create_once", fail) if broken == "create_once" else patch.setattr(ingest_stream, "FILE_LOG", None)
+        with pytest.raises(Exception):
+            ingest_stream.ingest_folder(spark, str(folder), table, log, "run", max_files=2)
+    assert ids(spark, table) == [7] and statuses(spark, log, table) == {}
+    ingest_stream.ingest_folder(spark, str(folder), table, log, "run", max_files=1)
+    assert ids(spark, table) == [7, 100, 200]
+    assert statuses(spark, log, table) == {"0.csv": "ingested", "1.csv": "duplicate_ids", "2.csv": "duplicate_ids"}
+
+
+def test_a_run_goes_on_where_it_broke_off(spark, place, monkeypatch):
+    folder, table, log = place
+    for i in range(3):
+        write(folder, f"{i}.csv", line(100 + i), line(200 + i // 2))
+    real, calls = ingest_stream.create_once, []
+
+    def second_fails(*a):
+        calls.append(a)
+        if len(calls) == 2:
+            raise OSError("lost")
+        return real(*a)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ingest_stream, "create_once", second_fails)
+        with pytest.raises(OSError):
+            ingest_stream.ingest_folder(spark, str(folder), table, log, "run", max_files=1)
+    ingest_stream.ingest_folder(spark, str(folder), table, log, "run", max_files=1)
+    assert ids(spark, table) == [7, 100, 102, 200, 201]
+    assert statuses(spark, log, table) == {"0.csv": "ingested", "1.csv": "duplicate_ids", "2.csv": "ingested"}
