@@ -4,20 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
-from functools import cache
+from functools import cache, partial, reduce
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.functions.checks import surely_invalid, surely_valid, violations
 from ebbtide.functions.features import ENGINEERED, add_engineered_features
 from ebbtide.operators import cleaning, drift, eda, importance, ingest, joins, metrics, preprocess, reports, splits
-from ebbtide.plans import exports, models, registry, scoring
+from ebbtide.plans import exports, models, registry, retrain_queue, scoring
 from ebbtide.plans import retrain as retraining
 from ebbtide.schemas import CHURN_RAW, CUSTOMER_COLUMNS, MODEL_REGISTRY, RAW_TO_CUSTOMER
 from ebbtide.session import shared_dir
 from ebbtide.sources import batches, derived
+from ebbtide.streaming import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -513,6 +515,39 @@ def retrain_events(spark: SparkSession, sf: str) -> DataFrame:
     return events.groupBy("event").agg(F.count("*").alias("n"), F.max(loaded).cast("double").alias("dataset_size"))
 
 
+@cache
+def _ingested_and_retrained(application: str, sf: str) -> str:
+    """A folder with table, log, queue and registry: batch files were ingested, and what they asked for was done."""
+    spark = SparkSession.active()
+    folder = scratch(spark, sf, f"queue-{datetime.now():%Y%m%d%H%M%S%f}")
+    batch = derived.table(spark, sf, "batch_rows")
+    names = [r["file_name"] for r in batch.select("file_name").distinct().collect()]  # a row per file
+    for name in names:
+        own = batch.where(F.col("file_name") == name).orderBy("rn").select(CUSTOMER_COLUMNS).coalesce(1)
+        own.write.option("header", True).csv(f"{folder}/in/{name}")
+    customers = derived.table(spark, sf, "customers")
+    ingest_stream.create_table(customers.select(CUSTOMER_COLUMNS), f"{folder}/table")
+    ask = partial(retrain_queue.ask, spark, f"{folder}/queue")
+    paths = sorted(path for name in names for path in batches.find_files(spark, f"{folder}/in/{name}"))
+    ingest_stream.ingest_files(spark, paths, f"{folder}/table", f"{folder}/log", "run", on_rows_added=ask)
+
+    def train() -> retraining.Outcome:
+        return retraining.retrain(ingest_stream.read_table(spark, f"{folder}/table"), f"{folder}/registry", f"{folder}/models", events_path=f"{folder}/events")
+
+    retrain_queue.work(spark, f"{folder}/queue", train)
+    return folder
+
+
+@query
+def ingest_then_retrain(spark: SparkSession, sf: str) -> DataFrame:
+    """The registry row that came of ingested files: its version, the rows it knows, and what was asked for."""
+    folder = _ingested_and_retrained(spark.sparkContext.applicationId, sf)
+    asked = spark.read.schema(retrain_queue.ITEMS).parquet(f"{folder}/queue/items").agg(F.sum("rows_added").alias("rows_added"))
+    outcomes = spark.read.schema(retrain_queue.OUTCOMES).parquet(f"{folder}/queue/outcomes").agg(F.count("*").alias("outcomes"))
+    current = registry.active(registry.read_registry(spark, f"{folder}/registry")).select("version", "dataset_size")
+    return current.crossJoin(asked).crossJoin(outcomes)  # one row each
+
+
 def _active_scorer(spark: SparkSession, sf: str) -> PipelineModel:
     """The active model of the registry that the retraining wrote."""
     return scoring.load_active_model(spark, f"{retrained(spark, sf)}/registry")
@@ -575,3 +610,34 @@ QUERIES["grid_search_rf"] = _grid_search_query(models.FOREST)
 QUERIES["grid_search_svm"] = _grid_search_query(models.SVM)
 QUERIES["grid_search_gbt"] = _grid_search_query(models.BOOSTED)
 QUERIES["grid_search_gbt_plain"] = _grid_search_query(models.BOOSTED_PLAIN)
+
+
+def _holds(name: str, auc: str, counted: str) -> Query:
+    """What must be true of measured models, as one row."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        found = QUERIES[name](spark, sf)
+        share = F.min(F.col(auc).between(0, 1)).alias("are_shares")
+        return found.agg(F.count("*").alias(counted), share, (F.max(auc) > 0.6).alias("better_than_chance"))
+
+    return run
+
+
+for _name in ("grid_search", "grid_search_rf", "grid_search_svm", "grid_search_gbt", "grid_search_gbt_plain"):
+    QUERIES[f"{_name}_holds"] = _holds(_name, "cv_auc", "settings")
+for _name in ("model_lr", "model_rf", "model_svm", "model_gbt", "model_gbt_plain"):
+    QUERIES[f"{_name}_holds"] = _holds(_name, "ROC-AUC", "models")
+
+
+@query
+def logistic_optimum(spark: SparkSession, sf: str) -> DataFrame:
+    """The gradient of the penalised loss at the fitted coefficients, summed over the training rows."""
+    f = frame(spark, sf)
+    model = models.fit_candidate(f, models.CANDIDATES[models.LOGISTIC])
+    values = vector_to_array("features")
+    scored = model.transform(f.train).select(vector_to_array("probability")[1].alias("p"), "exited", values.alias("x"))
+    wrong = F.col("p") - F.col("exited")
+    sums = scored.agg(*[F.sum(wrong * F.col("x")[i]).alias(f"g{i}") for i in range(len(model.coefficients))], F.sum(wrong).alias("g"), F.count("*").alias("n"))
+    each = [(F.col(f"g{i}") + float(w)) / F.col("n") for i, w in enumerate(model.coefficients)] + [F.col("g") / F.col("n")]
+    zero = reduce(lambda a, b: a & b, [F.abs(c) < 1e-8 for c in each])
+    return sums.select(F.lit(len(each)).cast("long").alias("components"), zero.alias("all_zero"))

@@ -616,3 +616,18 @@ oracle("scored_customers_hold", "SELECT customer_id, TRUE AS is_percent, TRUE AS
 _INPUTS = "geography, gender, age, tenure, balance, num_products, has_credit_card, is_active_member, estimated_salary"
 oracle("logged_predictions", f"SELECT {_INPUTS}, COUNT(*) AS n FROM customers GROUP BY {_INPUTS}")
 oracle("model_drift_basis", "SELECT LEAST(COUNT(*), 100) AS recent_rows, ROUND(AVG(exited), 6) AS baseline_rate FROM customers")
+oracle(
+    "ingest_then_retrain",
+    """SELECT 'v1' AS version, (SELECT COUNT(*) FROM customers) + (SELECT COUNT(*) FROM taken) AS dataset_size,
+      (SELECT COUNT(*) FROM taken) AS rows_added, 1 AS outcomes""",
+    **_steps,
+    taken=_taken,
+)
+
+# grids: a row per setting, every ROC-AUC a share of pairs, and the best is no chance
+for _name, _settings in {"grid_search": 4, "grid_search_rf": 12, "grid_search_svm": 6, "grid_search_gbt": 24, "grid_search_gbt_plain": 8}.items():
+    oracle(f"{_name}_holds", f"SELECT CAST({_settings} AS BIGINT) AS settings, TRUE AS are_shares, TRUE AS better_than_chance")
+for _name in ("model_lr", "model_rf", "model_svm", "model_gbt", "model_gbt_plain"):
+    oracle(f"{_name}_holds", "SELECT CAST(1 AS BIGINT) AS models, TRUE AS are_shares, TRUE AS better_than_chance")
+# the logistic fit is the minimum: every component of the gradient is zero
+oracle("logistic_optimum", "SELECT CAST(17 AS BIGINT) AS components, TRUE AS all_zero")

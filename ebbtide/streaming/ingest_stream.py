@@ -91,17 +91,22 @@ def ingest_files(
     mode: str = REJECT_FILE,
     archive: str | None = None,
     now: datetime | None = None,
-    on_rows_added: Callable[[int], None] | None = None,
+    on_rows_added: Callable[[str, int], None] | None = None,
     earlier: Collection[str] = (),
 ) -> DataFrame:
     """Decide about the files, append what was accepted, log it, archive files that are done.
 
     `earlier` names the batches of the same run before this one. A batch that counts already is
-    not done again: its log entries are returned.
+    not done again: its log entries are returned. on_rows_added is told the batch and its rows, once
+    or, after a failure, again: retrain_queue.ask takes a name once.
     """
     now = now or datetime.now()
     if batch in committed(spark, table):
-        return read_log(spark, log, table).where(F.col(BATCH) == batch).drop(BATCH)
+        logged = read_log(spark, log, table).where(F.col(BATCH) == batch).drop(BATCH)
+        added = logged.agg(F.coalesce(F.sum("written_rows"), F.lit(0))).first()[0]
+        if added and on_rows_added:  # the run may have broken off before it was told
+            on_rows_added(batch, added)
+        return logged
     own_run = F.col(BATCH).isin(list(earlier))
     existing = _counted(spark, table).where(~own_run)
     claimed = _counted(spark, table).where(own_run) if earlier else None
@@ -128,7 +133,7 @@ def ingest_files(
         done = [e[0] for e in entries if e[1] in DONE]
         archive_files(spark, done, archive, now)
     if added and on_rows_added:
-        on_rows_added(added)
+        on_rows_added(batch, added)
     return logged
 
 

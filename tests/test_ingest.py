@@ -155,7 +155,7 @@ def test_folder_run(spark, place, tmp_path):
     added = []
     now = datetime(2026, 1, 2, 3, 4, 5)
     ingest_stream.ingest_folder(
-        spark, str(folder), table, log, "one", archive=str(tmp_path / "archive"), now=now, on_rows_added=added.append
+        spark, str(folder), table, log, "one", archive=str(tmp_path / "archive"), now=now, on_rows_added=lambda batch, rows: added.append(rows)
     )
     assert ids(spark, table) == [1, 3, 4, 7] and added == [3]
     assert statuses(spark, log) == {
@@ -166,7 +166,7 @@ def test_folder_run(spark, place, tmp_path):
     archived = sorted(p.name for p in (tmp_path / "archive").iterdir() if not p.name.startswith("."))
     assert archived == ["a_20260102_030405.CSV", "b_20260102_030405.csv", "e_20260102_030405.csv"]
     # what was left is tried again: f has only known ids by now
-    ingest_stream.ingest_folder(spark, str(folder), table, log, "two", now=datetime(2026, 1, 3), on_rows_added=added.append)
+    ingest_stream.ingest_folder(spark, str(folder), table, log, "two", now=datetime(2026, 1, 3), on_rows_added=lambda batch, rows: added.append(rows))
     assert ids(spark, table) == [1, 3, 4, 7] and added == [3]
     assert statuses(spark, log)["f.csv"] == "no_new_rows"
 
