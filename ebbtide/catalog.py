@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 
 from ebbtide.functions.checks import surely_invalid, surely_valid, violations
 from ebbtide.functions.features import ENGINEERED, add_engineered_features
-from ebbtide.operators import cleaning, drift, eda, importance, ingest, joins, metrics, preprocess, reports, splits
+from ebbtide.operators import cleaning, drift, eda, importance, ingest, joins, metrics, preprocess, reports, score_counts, splits
 from ebbtide.plans import exports, models, registry, retrain_queue, scoring
 from ebbtide.plans import retrain as retraining
-from ebbtide.schemas import CHURN_RAW, CUSTOMER_COLUMNS, MODEL_REGISTRY, RAW_TO_CUSTOMER
+from ebbtide.schemas import CHURN_RAW, CUSTOMER_COLUMNS, MODEL_REGISTRY, RAW_TO_CUSTOMER, SCORING_COLUMNS
 from ebbtide.session import shared_dir
 from ebbtide.sources import batches, derived
-from ebbtide.streaming import ingest_stream
+from ebbtide.streaming import ingest_stream, scoring_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -590,6 +590,52 @@ def model_drift_basis(spark: SparkSession, sf: str) -> DataFrame:
     return model_drift(spark, sf).select("recent_rows", F.round("baseline_rate", 6).alias("baseline_rate"))
 
 
+@cache
+def _followed(application: str, sf: str) -> str:
+    """A folder into which all customers were scored as requests; the active model changed on the way."""
+    spark = SparkSession.active()
+    folder = scratch(spark, sf, f"followed-{datetime.now():%Y%m%d%H%M%S%f}")
+    f = frame(spark, sf)
+    f.preprocessor.write().overwrite().save(f"{folder}/models/preprocessor")
+    asked = derived.table(spark, sf, "customers").withColumn("value", F.to_json(F.struct(*SCORING_COLUMNS)))
+    first = F.col("geography").eqNullSafe("Maharashtra")
+    for version, c, part in (("v1", 1.0, first), ("v2", 0.01, ~first)):
+        fitted = models.fit_candidate(f, models.CANDIDATES[models.LOGISTIC], C=c)
+        PipelineModel(stages=[fitted]).write().overwrite().save(f"{folder}/models/{version}")
+        paths = (f"{folder}/models/{version}", f"{folder}/models/preprocessor")
+        registry.register(spark, f"{folder}/registry", 0.0, f.n_total, *paths, version, registry.FORCE)
+        asked.where(part).select("value").write.mode("append").text(f"{folder}/requests")
+        requests = scoring_stream.read_requests(spark, f"{folder}/requests", max_files=2)
+        running = scoring_stream.stream_followed(requests, f"{folder}/registry", folder, f"{folder}/checkpoint")
+        running.awaitTermination()
+    return folder
+
+
+@query
+def followed_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Predictions per version, and whether the counts kept beside the log are those of the whole log."""
+    folder = _followed(spark.sparkContext.applicationId, sf)
+    kept, log = scoring_stream.read_counts(spark, folder), scoring_stream.read_log(spark, folder)
+    counted = score_counts.counts_of(log)
+    columns = [F.col(c) for c in kept.columns]
+    # both have a row per version, day, level and bin
+    sides = kept.select(F.struct(*columns).alias("x")).unionByName(counted.select(F.struct(*columns).alias("x")))
+    same = sides.groupBy("x").agg(F.count("*").alias("n")).groupBy("x.model_version").agg(F.min(F.col("n") == 2).alias("counts_hold"))
+    return kept.groupBy("model_version").agg(F.sum("predictions").alias("predictions")).join(same, "model_version")
+
+
+@query
+def followed_high_risks(spark: SparkSession, sf: str) -> DataFrame:
+    """The list of high risks and the number kept for it, which follow from the scores of the log."""
+    folder = _followed(spark.sparkContext.applicationId, sf)
+    log = scoring_stream.read_log(spark, folder)
+    listed = reports.high_risk(log).agg(F.count("*").alias("n"))
+    over = log.agg(F.count_if(F.col("churn_probability") > 60).alias("over"))
+    kept = score_counts.high_risk_count(scoring_stream.read_counts(spark, folder))
+    one = listed.crossJoin(over).crossJoin(kept)  # a row each
+    return one.select((F.col("n") == F.col("over")).alias("list_holds"), (F.col("n") == F.col("high_risk_customers")).alias("count_holds"))
+
+
 @query
 def permutation_importance_model(spark: SparkSession, sf: str) -> DataFrame:
     f = frame(spark, sf)

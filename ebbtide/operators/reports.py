@@ -303,7 +303,11 @@ def risk_distribution(predictions: DataFrame) -> DataFrame:
     return predictions.groupBy("risk_level").agg(rows().alias("predictions"))
 
 
+def bin_of(percent: Column) -> Column:
+    """Number of the ten percent a probability lies in; 100 % belongs to the last."""
+    return F.least(F.floor(percent / 10), F.lit(9)).cast("int")
+
+
 def probability_histogram(predictions: DataFrame) -> DataFrame:
-    """Counts per ten percent; 100 % belongs to the last bin."""
-    bin_no = F.least(F.floor(F.col("churn_probability") / 10), F.lit(9)).cast("int")
-    return predictions.groupBy(bin_no.alias("bin")).agg(rows().alias("predictions"))
+    """Counts per ten percent."""
+    return predictions.groupBy(bin_of(F.col("churn_probability")).alias("bin")).agg(rows().alias("predictions"))

@@ -624,6 +624,14 @@ oracle(
     taken=_taken,
 )
 
+oracle(
+    "followed_stream",
+    """SELECT CASE WHEN geography = 'Maharashtra' THEN 'v1' ELSE 'v2' END AS model_version,
+      COUNT(*) AS predictions, TRUE AS counts_hold
+    FROM customers GROUP BY 1""",
+)
+oracle("followed_high_risks", "SELECT TRUE AS list_holds, TRUE AS count_holds")
+
 # grids: a row per setting, every ROC-AUC a share of pairs, and the best is no chance
 for _name, _settings in {"grid_search": 4, "grid_search_rf": 12, "grid_search_svm": 6, "grid_search_gbt": 24, "grid_search_gbt_plain": 8}.items():
     oracle(f"{_name}_holds", f"SELECT CAST({_settings} AS BIGINT) AS settings, TRUE AS are_shares, TRUE AS better_than_chance")

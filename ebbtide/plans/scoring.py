@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.functions import bands
@@ -28,13 +28,18 @@ def score_customers(customers: DataFrame, model: PipelineModel) -> DataFrame:
     return with_risk(scored.select(*customers.columns, "prediction", "_p"), "_p").drop("_p")
 
 
+def load_model(row: Row) -> PipelineModel:
+    """Preprocessing and classifier of a registry row."""
+    preprocessor = PipelineModel.load(row["preprocessor_path"])
+    return PipelineModel(stages=[*preprocessor.stages, PipelineModel.load(row["model_path"])])
+
+
 def load_active_model(spark: SparkSession, registry_path: str) -> PipelineModel:
     """Preprocessing and classifier of the active version, loaded once per job."""
     row = active(read_registry(spark, registry_path)).first()
     if row is None:
         raise FileNotFoundError(f"no active model in {registry_path}")
-    preprocessor = PipelineModel.load(row["preprocessor_path"])
-    return PipelineModel(stages=[*preprocessor.stages, PipelineModel.load(row["model_path"])])
+    return load_model(row)
 
 
 def as_log(scored: DataFrame) -> DataFrame:

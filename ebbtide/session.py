@@ -83,6 +83,12 @@ def names_in(spark: SparkSession, folder: str) -> list[str]:
     return sorted(f.getPath().getName() for f in at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this job's own, if it is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give checkpoint() a folder when the session has none yet."""
     if spark.sparkContext.getCheckpointDir() is None:

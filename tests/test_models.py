@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import date, datetime
 
 import numpy as np
 import pytest
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import plan_of
 from ebbtide import catalog
 from ebbtide.functions.features import add_engineered_features
-from ebbtide.operators import preprocess, splits
+from ebbtide.operators import preprocess, reports, score_counts, splits
 from ebbtide.operators.kernel import RandomFourierFeatures
 from ebbtide.plans import models, registry, retrain, scoring
 from ebbtide.schemas import CUSTOMERS, MODEL_REGISTRY, PREDICTIONS, SCORING_COLUMNS
@@ -266,3 +266,96 @@ def test_refused_requests_keep_their_reason(spark, tmp_path):
     rows = {r["request"]: r["reason"] for r in spark.read.parquet(rejects).collect()}
     assert set(rows) == {'{"age": "x", "tenure": 3}', "no json"}
     assert "age" in rows['{"age": "x", "tenure": 3}'] and "tenure" not in rows['{"age": "x", "tenure": 3}']
+
+
+def saved(spark, folder, frame, scorer, version, model):
+    """Register a version; its files lie beside the registry."""
+    PipelineModel(stages=[model]).write().overwrite().save(f"{folder}/{version}")
+    frame.preprocessor.write().overwrite().save(f"{folder}/p")
+    registry.register(spark, f"{folder}/registry", 0.5, 10, f"{folder}/{version}", f"{folder}/p", version, registry.FORCE)
+
+
+@pytest.fixture
+def followed(spark, frame, scorer, tmp_path):
+    """A folder, a writer of request files, and a run of the following stream."""
+    requests = tmp_path / "requests"
+    requests.mkdir()
+    people = spark.createDataFrame(PERSONAS, SCORING_COLUMNS)
+    lines = [r[0] for r in people.select(F.to_json(F.struct("*"))).collect()]
+
+    def ask(name, *which):
+        (requests / name).write_text("\n".join(lines[i] if i >= 0 else "no json" for i in which) + "\n")
+
+    def run():
+        stream = scoring_stream.read_requests(spark, str(requests), max_files=1)
+        query = scoring_stream.stream_followed(stream, f"{tmp_path}/registry", str(tmp_path), f"{tmp_path}/checkpoint")
+        assert query.awaitTermination(180)
+
+    saved(spark, tmp_path, frame, scorer, "v1", scorer.stages[-1])
+    return str(tmp_path), ask, run
+
+
+def kept_equal_counted(spark, folder):
+    log, kept = scoring_stream.read_log(spark, folder), scoring_stream.read_counts(spark, folder)
+    for of_counts, of_log in (
+        (score_counts.high_risk_count, reports.high_risk_count),
+        (score_counts.risk_distribution, reports.risk_distribution),
+        (score_counts.probability_histogram, reports.probability_histogram),
+    ):
+        assert sorted(map(tuple, of_counts(kept).collect())) == sorted(map(tuple, of_log(log).collect()))
+
+
+def test_counts_follow_the_log_over_batches_and_a_swap(spark, frame, scorer, followed):
+    folder, ask, run = followed
+    assert scoring_stream.read_log(spark, folder).count() == 0 and scoring_stream.read_counts(spark, folder).count() == 0
+    for i, which in enumerate([(0, 1), (2, -1), (1, 2, 2), (0,), (2, 1)]):
+        ask(f"{i}.json", *which)
+    run()
+    kept_equal_counted(spark, folder)
+    assert len(scoring_stream.counted_batches(spark, folder)) == scoring_stream.KEPT_SNAPSHOTS
+    other = models.fit_candidate(frame, models.CANDIDATES[models.LOGISTIC], C=0.001)
+    saved(spark, folder, frame, scorer, "v2", other)
+    ask("9.json", 0, 1, 2)
+    run()
+    run()  # nothing new
+    kept_equal_counted(spark, folder)
+    versions = {r["model_version"]: r["count"] for r in scoring_stream.read_log(spark, folder).groupBy("model_version").count().collect()}
+    assert versions == {"v1": 9, "v2": 3}
+    assert [r["reason"][:15] for r in scoring_stream.read_refused(spark, folder).collect()] == ["no usable value"]
+    days = score_counts.between(scoring_stream.read_counts(spark, folder), first_day=date(2999, 1, 1))
+    assert score_counts.high_risk_count(days).first()[0] == 0
+
+
+def test_a_batch_that_failed_or_is_replayed_counts_once(spark, scorer, followed, monkeypatch):
+    folder, ask, run = followed
+    ask("0.json", 0, 1, 2)
+    people = scoring_stream.parse_scoring_json(spark.read.text(f"{folder}/requests").withColumn("request", F.col("value")))
+    monkeypatch.setattr(scoring_stream, "merged", lambda before, more: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        scoring_stream.score_batch(people, folder, "v1", scorer, 0)
+    assert scoring_stream.read_log(spark, folder).count() == 0  # rows without a snapshot are not seen
+    monkeypatch.undo()
+    for _ in range(2):
+        scoring_stream.score_batch(people, folder, "v1", scorer, 0)
+        assert scoring_stream.read_log(spark, folder).count() == 3
+        kept_equal_counted(spark, folder)
+
+
+def test_the_list_of_high_risks_reads_its_own_folders(spark, scorer, followed):
+    folder, ask, run = followed
+    ask("0.json", 0, 1, 2)
+    run()
+    high = reports.high_risk(scoring_stream.read_log(spark, folder))
+    assert high.count() == 1
+    filters = plan_of(high).split("PartitionFilters: [")[1].split("]")[0]
+    assert "risk_level" in filters
+
+
+def test_the_model_is_loaded_once_per_version(spark, scorer, followed, monkeypatch):
+    folder, ask, run = followed
+    loaded = []
+    monkeypatch.setattr(scoring_stream, "load_model", lambda row: loaded.append(row["version"]) or scorer)
+    for i in range(3):
+        ask(f"{i}.json", 0)
+    run()
+    assert loaded == ["v1"]
