@@ -443,6 +443,28 @@ def ingest_batch_drop_rows(spark: SparkSession, sf: str) -> DataFrame:
     return _ingested(spark, sf, ingest.DROP_ROWS).rows
 
 
+@cache
+def _indexed(application: str, sf: str) -> str:
+    """The customers as a table of batches with their index: a base, and a batch per other state."""
+    spark = SparkSession.active()
+    folder = scratch(spark, sf, f"indexed-{datetime.now():%Y%m%d%H%M%S%f}")
+    customers = derived.table(spark, sf, "customers").select(CUSTOMER_COLUMNS)
+    state = F.coalesce("geography", F.lit("Maharashtra"))
+    ingest_stream.create_table(customers.where(state == "Maharashtra"), folder)
+    for name in ("Karnataka", "Delhi"):
+        ingest_stream.append_batch(customers.where(state == name), folder, name)
+    return folder
+
+
+@query
+def new_records_by_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the batch files whose id no batch of the table has; only batches that may have one are opened."""
+    table = _indexed(spark.sparkContext.applicationId, sf)
+    rows = derived.table(spark, sf, "batch_rows")
+    known = ingest_stream.rows_for(spark, table, [ingest_stream.FIRST, *ingest_stream.committed(spark, table)])
+    return ingest.new_records(rows, known).select("file_name", "rn", "customer_id")
+
+
 @query
 def ingest_summary(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.ingest_summary(_ingested(spark, sf, ingest.REJECT_FILE).files)

@@ -6,6 +6,7 @@ names: nothing here runs once per file.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -40,19 +41,28 @@ class IngestResult:
             df.unpersist()
 
 
-def new_records(
-    batch: DataFrame, existing: DataFrame, key: str = "customer_id", kept: list[DataFrame] | None = None
-) -> DataFrame:
+#: the table's rows, or what gives those that may have one of the asked ids (a column of distinct, persisted ones)
+Known = DataFrame | Callable[[DataFrame], DataFrame]
+
+
+def _known(existing: Known, asked: DataFrame, key: str) -> DataFrame:
+    """The asked ids that the table has."""
+    rows = existing if isinstance(existing, DataFrame) else existing(asked)
+    return join_checked(rows.select(key), asked, [key], "left_semi")
+
+
+def new_records(batch: DataFrame, existing: Known, key: str = "customer_id", kept: list[DataFrame] | None = None) -> DataFrame:
     """Rows whose key the table does not have.
 
     The big table is reduced to the few keys the batch asks about, by a broadcast of those
-    keys as long as they fit, so its key column is read once and not shuffled.
+    keys as long as they fit, so its key column is read once and not shuffled. A table with an
+    index (operators.id_index) is given as a function of the asked keys, and only partitions that
+    may hold them are read.
     """
     asked = batch.select(key).distinct()
     if kept is not None:
         kept.append(asked.persist())
-    known = join_checked(existing.select(key), asked, [key], "left_semi")
-    return batch.join(known, key, "left_anti")
+    return batch.join(_known(existing, asked, key), key, "left_anti")
 
 
 def _in(files: set[str]) -> Column:
@@ -85,7 +95,7 @@ def _settle_clashes(valid: DataFrame, files: list[str]) -> tuple[set[str], set[s
     return accepted, set(files) - accepted
 
 
-def ingest_batch(rows: DataFrame, existing: DataFrame, mode: str = REJECT_FILE, claimed: DataFrame | None = None) -> IngestResult:
+def ingest_batch(rows: DataFrame, existing: Known, mode: str = REJECT_FILE, claimed: Known | None = None) -> IngestResult:
     """Decide about files of parsed rows.
 
     `claimed` has the ids (a column customer_id) that earlier files of the same run added: a file that
@@ -131,8 +141,7 @@ def ingest_batch(rows: DataFrame, existing: DataFrame, mode: str = REJECT_FILE,
         open_ids = fresh.where("in_range").select("file_name", "customer_id")
         # the rows of the batch are few beside the table: what is shared is looked up from their side
         asked = open_ids.select("customer_id").distinct().persist()
-        taken_ids = join_checked(claimed.select("customer_id"), asked, ["customer_id"], "left_semi")
-        late = open_ids.join(taken_ids, "customer_id", "left_semi").persist()
+        late = open_ids.join(_known(claimed, asked, "customer_id"), "customer_id", "left_semi").persist()
         kept_frames += [asked, late]
     candidates = sorted(f["file_name"] for f in counted if f["file_name"] not in status)
     if late is not None and mode == REJECT_FILE:

@@ -215,6 +215,10 @@ oracle(
     "new_records_anti",
     "SELECT file_name, rn, customer_id FROM batch_rows WHERE customer_id NOT IN (SELECT customer_id FROM customers)",
 )
+oracle(
+    "new_records_by_index",
+    "SELECT file_name, rn, customer_id FROM batch_rows WHERE customer_id NOT IN (SELECT customer_id FROM customers)",
+)
 for _key, _prefix, _name in (("geography", "geo_", "fact_with_geo_summary"), ("num_products", "product_", "fact_with_product_summary")):
     oracle(
         _name,

@@ -5,6 +5,10 @@ A batch writes its rows, then its log entries, then one marker in the table's fo
 has a marker counts, in the table as in the log: a batch that failed before leaves nothing
 behind that is seen, and a batch that is replayed after its marker does nothing.
 
+Beside the rows lie the key range and a Bloom filter of each batch (operators.id_index), written
+before its marker: a batch of files opens only the partitions that may hold one of its ids. A
+partition without them, of an older table, is always opened.
+
 A run may take several batches. Files are decided as if all were one batch, whatever number of
 files a batch has: ids that the run itself has added so far are not known ids but ids of
 earlier files.
@@ -19,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ebbtide.operators import id_index
 from ebbtide.operators.ingest import DONE, MISSING_COLUMNS, REJECT_FILE, ingest_batch
 from ebbtide.schemas import CUSTOMER_COLUMNS, CUSTOMERS
 from ebbtide.session import create_once, names_in, path_exists
@@ -26,7 +31,8 @@ from ebbtide.sources.batches import find_files, read_files
 
 BATCH = "ingest_batch"
 FIRST = "base"
-MARKERS = "_committed"  # a folder that readers of the table skip
+MARKERS = "_committed"  # folders that readers of the table skip
+INDEX = "_index"
 
 FILE_LOG = T.StructType([
     T.StructField("file_name", T.StringType()),
@@ -54,8 +60,24 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(with_batch).parquet(path)
 
 
+def _write_rows(rows: DataFrame, table: str, batch: str) -> None:
+    """Rows of a batch and their index. Both count once the batch does."""
+    spark = rows.sparkSession
+    rows.write.mode("overwrite").parquet(f"{table}/{BATCH}={batch}")
+    written = spark.read.schema(rows.schema).parquet(f"{table}/{BATCH}={batch}")
+    ranges, words = id_index.build(written)
+    words.write.mode("overwrite").parquet(f"{table}/{INDEX}/words/{BATCH}={batch}")
+    ranges.coalesce(1).write.mode("overwrite").parquet(f"{table}/{INDEX}/ranges/{BATCH}={batch}")
+
+
 def create_table(customers: DataFrame, table: str) -> None:
-    customers.write.mode("overwrite").parquet(f"{table}/{BATCH}={FIRST}")
+    _write_rows(customers, table, FIRST)
+
+
+def append_batch(customers: DataFrame, table: str, batch: str) -> None:
+    """Add rows whose ids the table does not have, as a batch of their own."""
+    _write_rows(customers.select(CUSTOMER_COLUMNS), table, batch)
+    create_once(customers.sparkSession, f"{table}/{MARKERS}/{batch}")
 
 
 def committed(spark: SparkSession, table: str) -> list[str]:
@@ -68,6 +90,29 @@ def _counted(spark: SparkSession, table: str) -> DataFrame:
     return _read(spark, table, CUSTOMERS).where(F.col(BATCH).isin([FIRST, *committed(spark, table)]))
 
 
+def batches_for(spark: SparkSession, table: str, asked: DataFrame, batches: Collection[str]) -> list[str]:
+    """Those of the batches that may hold an asked id."""
+    here = F.col(BATCH).isin(list(batches))
+    ranges = _read_index(spark, table, "ranges", id_index.RANGES).where(here)
+    indexed = {r[BATCH] for r in ranges.select(BATCH).collect()}  # a row per batch
+    found = id_index.holders(asked, ranges, _read_index(spark, table, "words", id_index.WORDS))
+    return sorted({*found, *(set(batches) - indexed)})
+
+
+def _read_index(spark: SparkSession, table: str, part: str, schema: T.StructType) -> DataFrame:
+    path = f"{table}/{INDEX}/{part}"
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def rows_for(spark: SparkSession, table: str, batches: Collection[str]) -> Callable[[DataFrame], DataFrame]:
+    """What gives the rows of the batches that may have one of the asked ids."""
+
+    def rows(asked: DataFrame) -> DataFrame:
+        return _read(spark, table, CUSTOMERS).where(F.col(BATCH).isin(batches_for(spark, table, asked, batches)))
+
+    return rows
+
+
 def read_table(spark: SparkSession, table: str) -> DataFrame:
     return _counted(spark, table).select(CUSTOMER_COLUMNS)
 
@@ -107,9 +152,9 @@ def ingest_files(
         if added and on_rows_added:  # the run may have broken off before it was told
             on_rows_added(batch, added)
         return logged
-    own_run = F.col(BATCH).isin(list(earlier))
-    existing = _counted(spark, table).where(~own_run)
-    claimed = _counted(spark, table).where(own_run) if earlier else None
+    before = [name for name in (FIRST, *committed(spark, table)) if name not in earlier]
+    existing = rows_for(spark, table, before)
+    claimed = rows_for(spark, table, list(earlier)) if earlier else None
     rows, refused = read_files(spark, paths)
     entries = [(path, MISSING_COLUMNS, 0, 0, 0, 0, reason, now) for path, reason in refused.items()]
     added, with_header = 0, set()
@@ -120,7 +165,7 @@ def ingest_files(
         with_header = {f["file_name"] for f in decided}
         entries += [(*f, None, now) for f in decided]
         if added:
-            result.rows.select(CUSTOMER_COLUMNS).write.mode("overwrite").parquet(f"{table}/{BATCH}={batch}")
+            _write_rows(result.rows.select(CUSTOMER_COLUMNS), table, batch)
         result.release()
     # a file of nothing but a header has no row to be counted by
     entries += [
