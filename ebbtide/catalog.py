@@ -8,12 +8,13 @@ from functools import cache, partial, reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.functions.checks import surely_invalid, surely_valid, violations
 from ebbtide.functions.features import ENGINEERED, add_engineered_features
-from ebbtide.operators import cleaning, drift, eda, importance, ingest, joins, metrics, preprocess, reports, score_counts, splits
+from ebbtide.operators import cleaning, drift, eda, importance, ingest, joins, metrics, preprocess, reports, score_counts, sparse_encode, splits
 from ebbtide.plans import exports, models, registry, retrain_queue, scoring
 from ebbtide.plans import retrain as retraining
 from ebbtide.schemas import CHURN_RAW, CUSTOMER_COLUMNS, MODEL_REGISTRY, RAW_TO_CUSTOMER, SCORING_COLUMNS
@@ -308,6 +309,19 @@ def feature_matrix(spark: SparkSession, sf: str) -> DataFrame:
     return wide.select("customer_id", "split", *[F.round(c, 6).alias(c) for c in wide.columns if c.startswith("f_")])
 
 
+@query
+def sparse_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that have each feature of a sparse encoding, surnames among them, counted over the vectors."""
+    raw = derived.table(spark, sf, "churn_raw")
+    folder = scratch(spark, sf, f"sparse-{datetime.now():%Y%m%d%H%M%S%f}")
+    fitted = sparse_encode.fit_dictionary(raw, ["Surname", "Geography", "Gender"], folder)
+    encoded = sparse_encode.encode(raw.select("Surname", "Geography", "Gender"), fitted)
+    held = vector_to_array(Summarizer.numNonZeros(F.col("features")))
+    counted = encoded.agg(held.alias("n")).select(F.posexplode("n").alias("position", "n"))
+    named = fitted.features().join(counted, "position")
+    return named.select("column", "value", F.col("position").cast("long").alias("position"), F.col("n").cast("long").alias("n"))
+
+
 QUERIES["stratified_split"] = on("customers", lambda df: splits.stratified_split(df).select("customer_id", "split"))
 QUERIES["cv_folds"] = on("customers", lambda df: splits.with_folds(df).select("customer_id", "fold"))
 

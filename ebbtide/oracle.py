@@ -636,6 +636,21 @@ oracle(
 )
 oracle("followed_high_risks", "SELECT TRUE AS list_holds, TRUE AS count_holds")
 
+# a feature per category but the first of its column; rows without one count as the most frequent
+oracle(
+    "sparse_features",
+    """SELECT * FROM (WITH v AS (
+      SELECT 0 AS o, 'Surname' AS c, Surname AS x FROM churn_raw
+      UNION ALL SELECT 1, 'Geography', Geography FROM churn_raw
+      UNION ALL SELECT 2, 'Gender', Gender FROM churn_raw),
+    k AS (SELECT o, c, x, COUNT(*) AS n FROM v WHERE x IS NOT NULL GROUP BY o, c, x),
+    g AS (SELECT o, c, COUNT(*) AS gaps FROM v WHERE x IS NULL GROUP BY o, c),
+    p AS (SELECT o, c, x, n, ROW_NUMBER() OVER (PARTITION BY o ORDER BY x) AS place, ROW_NUMBER() OVER (PARTITION BY o ORDER BY n DESC, x) AS common FROM k)
+    SELECT p.c AS "column", x AS value, ROW_NUMBER() OVER (ORDER BY p.o, place) - 1 AS position,
+      n + CASE WHEN common = 1 THEN COALESCE(gaps, 0) ELSE 0 END AS n
+    FROM p LEFT JOIN g ON g.o = p.o WHERE place > 1) AS features""",
+)
+
 # grids: a row per setting, every ROC-AUC a share of pairs, and the best is no chance
 for _name, _settings in {"grid_search": 4, "grid_search_rf": 12, "grid_search_svm": 6, "grid_search_gbt": 24, "grid_search_gbt_plain": 8}.items():
     oracle(f"{_name}_holds", f"SELECT CAST({_settings} AS BIGINT) AS settings, TRUE AS are_shares, TRUE AS better_than_chance")
