@@ -15,7 +15,7 @@ def test_every_candidate_is_tuned_with_its_own_values(monkeypatch):
     monkeypatch.setattr(catalog, "frame", lambda spark, sf: None)
     monkeypatch.setattr(models, "grid_search", lambda frame, *given, **more: tuned.append((given, more)) or SimpleNamespace(results=None))
     for name, run in catalog.QUERIES.items():
-        if name.startswith("grid_search"):
+        if name.startswith("grid_search") and not name.endswith("_holds"):  # those judge the results of these
             run(None, "")
     assert sorted(given[0].name for given, _ in tuned) == sorted(models.CANDIDATES)
     assert all(len(given) == 1 and not more for given, more in tuned)
