@@ -107,12 +107,14 @@ def has_letter(text: str | None) -> bool:
 
 
 def fit_language_model(df: DataFrame, text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS, seed: str = "text", steps: int = 200) -> LanguageModel | None:
-    """Fit on at most sample_rows rows, chosen by a hash of the text, the same number per language.
+    """Fit on about sample_rows different texts, chosen by a hash of the text, the same number per language.
 
-    Rows without a language or without text teach nothing; None if no row is left.
+    Copies of a text teach once per language, however many there are: the bound holds for a text that a
+    third of the rows has, too. Numbers of different texts are estimates, off by a few in a hundred. Texts of
+    any length count whole. Rows without a language or without text teach nothing; None if no row is left.
     """
     rows = df.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("text", 0.02).alias("n")).collect()}
     if not counts:
         return None
     languages = sorted(counts)
@@ -122,16 +124,35 @@ def fit_language_model(df: DataFrame, text: str = "text", lang: str = "lang", sa
     for name in languages:
         keep = keep | ((F.col("lang") == name) & (place < min(1.0, share / counts[name])))
 
+    got = _sampled(rows.where(keep)).toArrow().sort_by([("mark", "ascending"), ("lang", "ascending")])
+    return _fit(got, languages, steps)
+
+
+def _sampled(rows: DataFrame) -> DataFrame:
+    """mark, lang, buckets, counts of every different text and language of the rows: text, lang.
+
+    A task leaves out what it has had before it counts anything, so copies reach the shuffle once a task.
+    """
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        had: set[tuple[int, str]] = set()  # of the sampled texts
         for batch in slices(batches, 0):
+            first = []
+            for row, pair in enumerate(zip(batch.column(2).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                if pair not in had:
+                    had.add(pair)
+                    first.append(row)
+            if not first:
+                continue
+            batch = batch.take(pa.array(first))
             docs, buckets, n = trigram_counts(batch.column(0))
             values = _values(docs, n, batch.num_rows).astype(np.float32)
             bounds = pa.array(np.searchsorted(docs, np.arange(batch.num_rows + 1)).astype(np.int32))
             lists = [pa.ListArray.from_arrays(bounds, pa.array(x)) for x in (buckets.astype(np.int16), values)]
-            yield pa.RecordBatch.from_arrays([batch.column(1), *lists], names=["lang", "buckets", "counts"])
+            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(1), *lists], names=["mark", "lang", "buckets", "counts"])
 
-    got = rows.where(keep).mapInArrow(run, "lang string, buckets array<short>, counts array<float>").toArrow()
-    return _fit(got, languages, steps)
+    marked = rows.select("text", "lang", F.xxhash64("text").alias("mark"))
+    return marked.mapInArrow(run, "mark long, lang string, buckets array<short>, counts array<float>").dropDuplicates(["mark", "lang"])
 
 
 def _fit(got: pa.Table, languages: list[str], steps: int) -> LanguageModel:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,3 +97,17 @@ def test_codewords_differ_in_many_bits():
         code = L.codewords(count)
         distances = [int((code[i] != code[j]).sum()) for i in range(count) for j in range(i)]
         assert len(code) == count and min(distances) >= max(1, code.shape[1] // 5)
+
+
+def test_copies_of_a_text_are_sampled_once(spark):
+    texts = [f"{word} und der die das" for word in ("eins", "zwei", "drei")]
+    rows = spark.createDataFrame([(t, lang) for t in texts for lang in ("de", "nl") for _ in range(400)] + [("", "de")] * 5, "text string, lang string")
+    sampled = L._sampled(rows.repartition(5)).collect()
+    assert len(sampled) == len({(r["mark"], r["lang"]) for r in sampled}) == 7
+
+
+def test_a_hot_text_does_not_change_the_model(spark):
+    draw = [(f"wort{i} gegen{i % 7} ueber", "de") for i in range(60)] + [(f"word{i} the of{i % 7}", "en") for i in range(60)]
+    once = L.fit_language_model(spark.createDataFrame(draw, "text string, lang string"), steps=20)
+    hot = L.fit_language_model(spark.createDataFrame(draw + draw[:1] * 500, "text string, lang string").repartition(3), steps=20)
+    assert once.languages == hot.languages and np.allclose(once.weights, hot.weights)
