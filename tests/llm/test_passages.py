@@ -56,6 +56,56 @@ def test_a_passage_whose_parts_stand_in_other_documents(spark):
     assert want[6] <= got[6] and set(got) == {6}
 
 
+def test_passages_with_changes(spark):
+    """Of 60 words with one in ten changed, or fewer, nine in ten passages are found, wherever the changes lie."""
+    rng, texts, planted = random.Random(5), {}, {}
+    for even in (True, False):
+        for every in (10, 12, 15, 20, 30):
+            for _ in range(40):
+                passage = prose(rng.randrange(1 << 30), 60).split()
+                other = list(passage)
+                for i in range(rng.randrange(every), 60, every) if even else rng.sample(range(60), 60 // every):
+                    other[i] = f"x{rng.randrange(1 << 30)}"
+                doc = len(texts) + 1
+                for i, words in enumerate((passage, other)):
+                    texts[doc + i] = f"{prose(rng.randrange(1 << 30), 50)} {' '.join(words)} {prose(rng.randrange(1 << 30), 40)}"
+                planted[doc + 1] = (even, every)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    rows = C.shared_passages(df).collect()
+    got = covered(rows)
+    assert set(got) <= set(planted)
+    assert all(r["partner"] == r["doc"] - 1 for r in rows)
+    for kind in set(planted.values()):
+        docs = [d for d, k in planted.items() if k == kind]
+        assert sum(d in got for d in docs) >= 0.9 * len(docs), kind
+    # nothing beyond the passage, but for chance
+    assert all(places <= set(range(45, 115)) for places in got.values())
+
+
+def test_extension_is_the_best_beginning():
+    """Against the distances of all beginnings of both lists."""
+    rng = random.Random(3)
+    for _ in range(60):
+        a = [rng.randrange(40) for _ in range(rng.randrange(0, 30))]
+        b = list(a)
+        for _ in range(rng.randrange(0, 3)):
+            if b:
+                place = rng.randrange(len(b))
+                b[place : place + 1] = rng.choice(([], [99], [b[place], 98]))
+        b = b[: rng.randrange(len(b) + 1)] + [200 + i for i in range(rng.randrange(8))]
+        i, j, edits = C.extended(a, b, 4.0)
+        gain = lambda x, y: min(x, y) - 4.0 * C.edit_distance(np.array(a[:x]), np.array(b[:y]))
+        assert gain(i, j) == max(gain(x, y) for x in range(len(a) + 1) for y in range(len(b) + 1))
+        assert edits == C.edit_distance(np.array(a[:i]), np.array(b[:j]))
+
+
+def test_a_chain_of_two_passages_is_divided():
+    a = np.arange(160, dtype=np.uint32)
+    b = np.concatenate([a[:55], np.arange(1000, 1050, dtype=np.uint32), a[105:]])
+    both = [(0, 0, 55 - C.SEED), (105, 105, 160 - C.SEED)]
+    assert C.align(a, b, both, 50, 0.8) == {(0, 55, 0, 55, 0), (105, 160, 105, 160, 0)}
+
+
 def test_runs_of_one_word_are_repeats(spark):
     texts = {1: "la " * 300, 2: prose(71, 20) + " la" * 150, 3: "la " * 60 + prose(72, 60) + " la" * 200, 4: prose(73, 10) + " la" * 130 + " " + prose(72, 55)}
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(2)
