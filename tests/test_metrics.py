@@ -66,6 +66,28 @@ def test_importance_of_used_and_unused_columns(spark):
     assert results[0] == results[1] == results[2]
 
 
+def test_columns_of_few_values_are_scored_once_per_value(spark):
+    rows = [(i, i % 3 == 0, i % 2 or None, "abc"[i % 3], float(i * 37 % 101)) for i in range(400)]
+    df = spark.createDataFrame(rows, "customer_id long, exited boolean, flag long, place string, amount double")
+    df = df.withColumn("exited", F.col("exited").cast("int"))
+    points = F.coalesce(F.col("flag"), F.lit(0)) + F.when(F.col("place") == "a", 2).otherwise(0) + F.col("amount") / 50
+    scored = []
+
+    def predict(d):
+        scored.append(d)
+        return d.withColumn("prediction", (points > 2).cast("int"))
+
+    results, sizes = [], []
+    for few in (0, None, 1000):
+        found = permutation_importance(df, ["flag", "place", "amount"], predict, repeats=10, few=few)
+        results.append(sorted((r["feature"], round(r[1], 9), round(r[2], 9)) for r in found.collect()))
+        sizes.append(sum(d.count() for d in scored))
+        scored.clear()
+    assert len(results[0]) == 3 and results[0] == results[1] == results[2]
+    # 31 scores a row without the table; with it 1 + 10 for the amount, and the row, another flag, two other places
+    assert sizes[:2] == [31 * 400, 15 * 400]
+
+
 def test_a_permutation_keeps_the_values(spark):
     rows = [(i, 1, float(i)) for i in range(300)]
     df = spark.createDataFrame(rows, "customer_id long, exited int, v double")
