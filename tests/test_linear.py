@@ -151,3 +151,29 @@ def test_sums_do_not_depend_on_who_is_first(spark):
     problems = [linear.Problem(B.ALL, 1.0), linear.Problem(B.ALL, 1.0, held_out=1)]
     one, two = linear.solve(data, problems), linear.solve(data, problems)
     assert all((a == b).all() for a, b in zip(one, two, strict=True))
+
+
+def test_rows_of_several_problems_are_multiplied_once(monkeypatch):
+    monkeypatch.setattr(linear, "ROWS_AT_ONCE", 50)
+    monkeypatch.setattr(linear, "SUMS_AT_ONCE", 3)
+    rng = np.random.default_rng(5)
+    z, fold = rng.normal(size=(400, 7)), rng.integers(0, 5, 400)
+    has = np.column_stack([fold != k for k in range(-1, 5)]) & (rng.random((400, 1)) < 0.7)
+    has[rng.random(has.shape) < 0.01] = False
+    products = linear.Products(6, 7)
+    for low in range(0, 400, 30):
+        products.add(z[low : low + 30], has[low : low + 30])
+    for rows, found in zip(has.T, products.all(), strict=True):
+        assert np.allclose(found, z[rows].T @ z[rows], rtol=1e-12)
+
+
+def test_shared_products_give_each_problem_its_own_sums():
+    rng = np.random.default_rng(6)
+    z, y = np.hstack([rng.normal(size=(300, 4)), np.ones((300, 1))]), rng.integers(0, 2, 300).astype(float)
+    w, rows = rng.normal(size=(5, 3)), np.column_stack([np.arange(300) % 3 != k for k in range(3)])
+    found, short = linear._hinge_terms(z, y, w, rows)
+    for k in range(3):
+        own, sign = z[rows[:, k]], 2 * y[rows[:, k]] - 1
+        lost = np.maximum(1 - sign * (own @ w[:, k]), 0)
+        assert np.allclose(found[k], [len(own), (lost**2).sum(), *(-2 * own.T @ (sign * lost))])
+        assert short[rows[:, k], k].tolist() == (lost > 0).tolist() and not short[~rows[:, k], k].any()
