@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -56,6 +58,62 @@ def test_a_passage_whose_parts_stand_in_other_documents(spark):
     assert want[6] <= got[6] and set(got) == {6}
 
 
+def parted_texts() -> dict[int, str]:
+    """The first and the nearest two documents with each part have 40 words of 80; one between has all, the last all but for changes."""
+    w = prose(70, 80).split()
+    changed = variant(" ".join(w), 11).split()
+    parts = [w[:40], w[40:], w, w[:40], w[40:], w[:40], w[40:], changed]
+    return {i: f"{prose(5000 + i, 30)} {' '.join(p)} {prose(6000 + i, 30)}" for i, p in enumerate(parts, 1)}
+
+
+def test_a_changed_passage_whose_parts_stand_in_other_documents(spark, monkeypatch):
+    texts = parted_texts()
+    assert not brute.repeated_words(texts, C.LEAST_WORDS)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    rows = C.shared_passages(df).collect()
+    assert [(r["doc"], r["partner"]) for r in rows] == [(8, 3)]
+    assert set(range(30, 107)) <= covered(rows)[8] <= set(range(25, 115))
+    # occurrences of a seed in several blocks
+    monkeypatch.setattr(C, "BLOCK", 2)
+    assert sorted(C.shared_passages(df).collect()) == sorted(rows)
+
+
+def test_no_likely_pair_is_missed():
+    """Against the counts of all pairs, also where runs share codes."""
+    rng = np.random.default_rng(2)
+    width = 2 * C.DRIFT + 30
+    for codes in (C.CODES, 16):
+        for _ in range(10):
+            runs = rng.integers(0, 60, (40, width)).astype(np.uint64)
+            doc = rng.permutation(40).astype(np.int64)
+            own, other = np.arange(0, 40, 2), np.arange(40)
+            with pytest.MonkeyPatch.context() as m:
+                m.setattr(C, "CODES", codes)
+                m.setattr(C, "ROWS", 7)
+                got = {p for i, j in C.likely_pairs(doc, own, other, runs, 20) for p in zip(i.tolist(), j.tolist(), strict=True)}
+            inner = [Counter(x for x in r[C.DRIFT : width - C.DRIFT].tolist() if x) for r in runs]
+            want = {(i, j) for i in own.tolist() for j in other.tolist() if doc[j] < doc[i] and (inner[i] & Counter(runs[j].tolist())).total() >= 20}
+            assert want and (want == got if codes == C.CODES else want <= got)
+
+
+def test_what_cannot_align_has_no_passage():
+    rng = random.Random(9)
+    aligned = 0
+    for _ in range(300):
+        a = np.array([rng.randrange(300) for _ in range(90)], dtype=np.uint32)
+        b = a.copy()
+        for i in rng.sample(range(90), rng.randrange(0, 40)):
+            b[i] = 1000 + i
+        same = [i for i in range(90 - C.SEED) if (a[i : i + C.SEED] == b[i : i + C.SEED]).all()]
+        if not same:
+            continue
+        found = C.align(a, b, [(same[0], same[0], same[-1])], 50, 0.8)
+        aligned += bool(found)
+        assert C.can_align(a, b, 50, 0.8) or not found
+    assert aligned
+    assert not C.can_align(a, a + np.uint32(5000), 50, 0.8) and not C.can_align(a[:40], a[:40], 50, 0.8)
+
+
 def test_passages_with_changes(spark):
     """Of 60 words with one in ten changed, or fewer, nine in ten passages are found, wherever the changes lie."""
     rng, texts, planted = random.Random(5), {}, {}
